@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_CLASSES = 10_000
+# Lookup tables up to this many rows are broadcast (a few tens of MB of
+# short strings); bigger ones take a shuffle join, where AQE splits hot keys.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 # 33 low bits of monotonically_increasing_id() hold the in-partition row number.
 _LOW_BITS = (1 << 33) - 1
 
@@ -124,3 +127,16 @@ def decode_labels(df: DataFrame, labels: list, id_col: str = "prediction",
         [(i, v) for i, v in enumerate(labels)], f"`_code` int, `{out_col}` string"
     )
     return df.join(F.broadcast(dim), F.col(id_col).cast("int") == F.col("_code"), "left").drop("_code")
+
+
+def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join a lookup table whose size is data-dependent (a vocabulary, a
+    lexicon): broadcast it only after counting that it has at most
+    ``max_broadcast_rows`` rows, otherwise shuffle-join on the key and let
+    AQE's skew-join split hot keys.  Callers checkpoint ``small`` first when
+    it is expensive, so the count does not recompute it."""
+    n = small.limit(max_broadcast_rows + 1).count()
+    if n <= max_broadcast_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
