@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexis.plans import load_queries, text_queries, token_queries  # noqa: F401
+from lexis.plans import feature_queries, load_queries, text_queries, token_queries  # noqa: F401
 from lexis.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
