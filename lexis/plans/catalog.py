@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from lexis.plans import feature_queries, load_queries, text_queries, token_queries  # noqa: F401
+from lexis.plans import (feature_queries, load_queries, model_queries,  # noqa: F401
+                         text_queries, token_queries)
 from lexis.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
