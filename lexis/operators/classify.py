@@ -86,15 +86,17 @@ class AdaBoostModel:
         from lexis.functions.text import argmax
 
         k = self.num_classes
-        votes = F.array(*[F.lit(0.0)] * k)
         cur = df
-        for i, (m, a) in enumerate(zip(self.stumps, self.alphas)):
+        cols = []
+        for i, m in enumerate(self.stumps):
             col = f"_p{i}"
             cur = m.setPredictionCol(col).setRawPredictionCol(f"_raw{i}") \
                 .setProbabilityCol(f"_prob{i}").transform(cur).drop(f"_raw{i}", f"_prob{i}")
-            votes = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                                lambda c, v=votes, col=col, a=a: v[c] + F.when(
-                                    F.col(col).cast("int") == c, F.lit(a)).otherwise(F.lit(0.0)))
+            cols.append(col)
+        votes = F.array(*[
+            sum((F.when(F.col(col).cast("int") == c, F.lit(a)).otherwise(F.lit(0.0))
+                 for col, a in zip(cols, self.alphas)), F.lit(0.0))
+            for c in range(k)])
         out = cur.withColumn(out_col, argmax(votes).cast("double"))
         return out.drop(*[f"_p{i}" for i in range(len(self.stumps))])
 

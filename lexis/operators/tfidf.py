@@ -132,9 +132,9 @@ def vector_stages(tokens_col: str = "terms", out_col: str = "features", *,
     cv_min = float(min_df)
     if isinstance(min_df, float) and min_df >= 1.0:
         cv_min = 0.0 if min_df == 1.0 else cv_min
-    cv = CountVectorizer(inputCol=tokens_col, outputCol="_tf", minDF=cv_min, maxDF=cv_max,
-                         vocabSize=vocab_size)
-    idf = IDF(inputCol="_tf", outputCol="_idf_part", minDocFreq=0)
+    cv = CountVectorizer(inputCol=tokens_col, outputCol=f"_{out_col}_tf", minDF=cv_min,
+                         maxDF=cv_max, vocabSize=vocab_size)
+    idf = IDF(inputCol=f"_{out_col}_tf", outputCol=f"_{out_col}_idf", minDocFreq=0)
     return cv, idf, out_col
 
 
@@ -150,8 +150,9 @@ def fit_vectors(df: DataFrame, tokens_col: str = "terms", out_col: str = "featur
     cv_model, idf_model = counts.stages
     # idf vector has one entry per vocabulary term (bounded by vocab_size)
     weights = Vectors.dense([x + 1.0 for x in idf_model.idf.toArray()])
-    scale = ElementwiseProduct(inputCol="_tf", outputCol="_scaled", scalingVec=weights)
-    norm = Normalizer(inputCol="_scaled", outputCol=out_col, p=2.0)
+    scale = ElementwiseProduct(inputCol=f"_{out_col}_tf", outputCol=f"_{out_col}_scaled",
+                               scalingVec=weights)
+    norm = Normalizer(inputCol=f"_{out_col}_scaled", outputCol=out_col, p=2.0)
     from pyspark.ml import PipelineModel
 
     return PipelineModel(stages=[cv_model, scale, norm])

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from lexis.plans import (feature_queries, load_queries, model_queries,  # noqa: F401
-                         text_queries, token_queries)
+                         sequence_queries, text_queries, token_queries)
 from lexis.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark, sf_dir):
-    return QUERIES["clean_text"](spark, sf_dir)
+    """Minimum end-to-end slice: documents -> stage-1 clean -> exact
+    stratified split -> TF-IDF fitted on train -> relational Naive Bayes ->
+    test predictions (doc_id, label_id, prediction)."""
+    return QUERIES["clf_naive_bayes_sql"](spark, sf_dir)
