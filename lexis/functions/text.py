@@ -22,12 +22,16 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Word characters of Python's Unicode ``\w``: letters, numbers, underscore.
 WORD = r"\p{L}\p{N}_"
+# Whitespace of Python's Unicode ``\s`` (str.isspace), written out: faster
+# than Java's (?U) flag and identical to Python on separators \x1c-\x1f.
+SPACE = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 # Stage-1 cleaning patterns, applied in this order.
-URL_PATTERN = r"(?i)https?://\S+|www\.\S+"
+URL_PATTERN = "(?i)https?://[^" + SPACE + "]+|www\\.[^" + SPACE + "]+"
 MENTION_PATTERN = "@[" + WORD + "]+"
 HASHTAG_PATTERN = "#[" + WORD + "]+"
-NON_LETTER_PATTERN = r"(?U)[^a-z\s]"
-MULTISPACE_PATTERN = r"(?U)\s+"
+NON_LETTER_PATTERN = "[^a-z" + SPACE + "]"
+MULTISPACE_PATTERN = "[" + SPACE + "]+"
 # Contraction expansions, case-insensitive, applied in this order
 # (specific won't/can't before the broad n't rule).
 CONTRACTIONS = (

@@ -6,7 +6,9 @@ feature space (``narrow_vocab`` most frequent terms) because their cost
 grows with the width; linear models and Naive Bayes use all terms.
 
 Boosted presets stand in for the native gradient-boosting libraries:
-multi-class boosting is one-vs-rest over ``GBTClassifier``.
+multi-class boosting is one-vs-rest over ``GBTClassifier``; the K binary
+models of a one-vs-rest estimator are trained concurrently (one Spark job
+stream per class).
 """
 
 from __future__ import annotations
@@ -54,15 +56,16 @@ def build_estimator(name: str, num_features: int, num_classes: int, p: SuitePara
         return DecisionTreeClassifier(maxDepth=min(p.tree_depth, 30), impurity="gini", seed=p.seed)
     if name == "Gradient Boosting":
         return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.1,
-                                                  maxDepth=3, seed=p.seed))
+                                                  maxDepth=3, seed=p.seed), parallelism=num_classes)
     if name == "LightGBM-style boosting":
         return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.1,
-                                                  maxDepth=5, seed=p.seed))
+                                                  maxDepth=5, seed=p.seed), parallelism=num_classes)
     if name == "XGBoost-style boosting":
         return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.3,
-                                                  maxDepth=6, seed=p.seed))
+                                                  maxDepth=6, seed=p.seed), parallelism=num_classes)
     if name == "Support Vector Machine":
-        return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, regParam=0.0))
+        return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, regParam=0.0),
+                         parallelism=num_classes)
     if name == "Naive Bayes":
         return NaiveBayes(smoothing=1.0, modelType="multinomial")
     if name == "Multilayer Perceptron":

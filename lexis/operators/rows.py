@@ -140,3 +140,16 @@ def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
     if n <= max_broadcast_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
+
+
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition a scan by ``key`` when it has fewer partitions than
+    the cluster has cores (e.g. one big single-row-group file), so that
+    CPU-heavy text expressions run in parallel and later per-key
+    aggregations/windows find the data already clustered by ``key``.  A
+    no-op for inputs with enough splits, i.e. at scale."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)

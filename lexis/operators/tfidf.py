@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lexis.functions.text import WORD
 from lexis.operators.rows import dense_index, join_lookup, require_columns
+from lexis.session import cut_lineage
 
 # Vectoriser token rule: maximal runs of at least two word characters.
 TERM_PATTERN = "[" + WORD + "]{2,}"
@@ -87,6 +88,9 @@ def fit(tf: DataFrame, n_docs: int, *, min_df=2e-5, max_df=0.70,
     vocab = vocab.select("term", "df", idf.alias("idf"))
     if index:
         vocab = dense_index(vocab, ["term"], "term_index")
+    # the vocabulary is read several times (size, join, emptiness check);
+    # materialise it once instead of re-aggregating the corpus each time
+    vocab = cut_lineage(vocab)
     if vocab.limit(1).count() == 0:
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
     return TfidfModel(vocab=vocab, n_docs=n_docs, use_idf=use_idf)

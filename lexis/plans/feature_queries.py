@@ -15,7 +15,7 @@ from lexis.operators import tfidf as TF
 from lexis.operators.rows import encode_labels
 from lexis.plans.registry import register, table
 from lexis.plans.text_queries import sql_clean
-from lexis.session import scratch_path
+from lexis.session import cut_lineage, scratch_path
 from lexis.sources.files import write_split_dataset
 
 SEED = 42
@@ -159,8 +159,9 @@ HOLDOUT_TF_SQL = (f"SELECT tf.* FROM ({TF_SQL}) tf JOIN ({SPLIT_TEXT_SQL}) s USI
 def _split_tf(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", T.clean_text(F.col("text")).alias("text"))
     s = SP.stratified_split(d, "lang", "doc_id", test_size=TEST_SIZE, seed=SEED)
+    s = cut_lineage(s)
     tf = TF.term_frequency(TF.terms(s, "text", "doc_id"), "doc_id")
-    tf = tf.join(s.select("doc_id", "split"), "doc_id")
+    tf = cut_lineage(tf.join(s.select("doc_id", "split"), "doc_id"))
     return s, tf
 
 
@@ -229,7 +230,8 @@ def nb_predictions(spark, sf_dir):
     train_tf = tf.where(F.col("split") == "train").drop("split")
     n_train = s.where(F.col("split") == "train").count()
     model = TF.fit(train_tf, n_train, min_df=MIN_DF, max_df=MAX_DF)
-    weights = TF.transform(tf.drop("split"), model, "doc_id").join(s.select("doc_id", "split"), "doc_id")
+    weights = cut_lineage(TF.transform(tf.drop("split"), model, "doc_id")
+                          .join(s.select("doc_id", "split"), "doc_id"))
     nb = NB.fit(weights.where(F.col("split") == "train"), s.where(F.col("split") == "train"),
                 "doc_id", model.size, num_classes=len(labels))
     test = s.where(F.col("split") == "test").select("doc_id", "label_id")
