@@ -38,13 +38,17 @@ class SuiteParams:
     boost_rounds: int = 20
     ada_rounds: int = 50
     svm_iter: int = 100
+    svm_c: float = 1.0
     mlp_hidden: int = 100
     mlp_iter: int = 200
     extra: dict = field(default_factory=dict)
 
 
-def build_estimator(name: str, num_features: int, num_classes: int, p: SuiteParams):
-    """One unfitted estimator of the suite (AdaBoost is ``AdaBoost``)."""
+def build_estimator(name: str, num_features: int, num_classes: int, p: SuiteParams,
+                    num_rows: int | None = None):
+    """One unfitted estimator of the suite (AdaBoost is ``AdaBoost``).
+    ``num_rows`` (training rows) turns the SVM's C into Spark's
+    ``regParam = 1 / (C * n)``."""
     from pyspark.ml.classification import (
         DecisionTreeClassifier, GBTClassifier, LinearSVC, MultilayerPerceptronClassifier,
         NaiveBayes, OneVsRest, RandomForestClassifier)
@@ -64,7 +68,8 @@ def build_estimator(name: str, num_features: int, num_classes: int, p: SuitePara
         return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.3,
                                                   maxDepth=6, seed=p.seed), parallelism=num_classes)
     if name == "Support Vector Machine":
-        return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, regParam=0.0),
+        reg = 1.0 / (p.svm_c * num_rows) if num_rows else 0.0
+        return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, regParam=reg),
                          parallelism=num_classes)
     if name == "Naive Bayes":
         return NaiveBayes(smoothing=1.0, modelType="multinomial")
@@ -157,7 +162,8 @@ class AdaBoost:
 
 def fit_model(name: str, train: DataFrame, num_features: int, num_classes: int,
               params: SuiteParams | None = None):
-    est = build_estimator(name, num_features, num_classes, params or SuiteParams())
+    rows = train.count() if name == "Support Vector Machine" else None
+    est = build_estimator(name, num_features, num_classes, params or SuiteParams(), rows)
     return est.fit(train)
 
 

@@ -126,7 +126,8 @@ def q_score_new_text(spark, sf_dir):
     out = scratch_path(spark, "scoring")
     paths = PL.save_models({"Naive Bayes": model}, prep, out)
     conv = table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * F.lit(1000) + F.col("turn")).alias("doc_id"), "text")
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("doc_id"),
+        "text")
     return _score_texts(conv, PipelineModel.load(f"{out}/tfidf_vectorizer"),
                         NaiveBayesModel.load(paths["Naive Bayes"]), out)
 
