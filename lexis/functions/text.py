@@ -22,16 +22,15 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Word characters of Python's Unicode ``\w``: letters, numbers, underscore.
 WORD = r"\p{L}\p{N}_"
-# Whitespace of Python's Unicode ``\s`` (str.isspace), written out: faster
-# than Java's (?U) flag and identical to Python on separators \x1c-\x1f.
-SPACE = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+# Whitespace of Python's Unicode ``\s`` (str.isspace): Java's Unicode
+# ``\s`` (patterns below carry the (?U) flag) plus the separators \x1c-\x1f.
+SPACE = r"\s\x1C-\x1F"
 # Stage-1 cleaning patterns, applied in this order.
-URL_PATTERN = "(?i)https?://[^" + SPACE + "]+|www\\.[^" + SPACE + "]+"
+URL_PATTERN = "(?iU)https?://[^" + SPACE + "]+|www\\.[^" + SPACE + "]+"
 MENTION_PATTERN = "@[" + WORD + "]+"
 HASHTAG_PATTERN = "#[" + WORD + "]+"
-NON_LETTER_PATTERN = "[^a-z" + SPACE + "]"
-MULTISPACE_PATTERN = "[" + SPACE + "]+"
+NON_LETTER_PATTERN = "(?U)[^a-z" + SPACE + "]"
+MULTISPACE_PATTERN = "(?U)[" + SPACE + "]+"
 # Contraction expansions, case-insensitive, applied in this order
 # (specific won't/can't before the broad n't rule).
 CONTRACTIONS = (
@@ -49,14 +48,20 @@ CONTRACTIONS = (
 # pictographic blocks, dingbats/misc symbols, regional indicators, tag
 # characters and the joiners/selectors that glue sequences together
 # (Unicode emoji-data blocks).
+KEYCAP_PATTERN = r"[#*0-9]\x{FE0F}?\x{20E3}"
 EMOJI_PATTERN = (
-    r"[#*0-9]\x{FE0F}?\x{20E3}"
-    r"|[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2300}-\x{23FF}\x{2B00}-\x{2BFF}"
+    KEYCAP_PATTERN
+    + r"|[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2300}-\x{23FF}\x{2B00}-\x{2BFF}"
     r"\x{1F1E6}-\x{1F1FF}\x{E0020}-\x{E007F}\x{FE00}-\x{FE0F}\x{200D}\x{20E3}"
     r"\x{00A9}\x{00AE}\x{203C}\x{2049}\x{2122}\x{2139}\x{2194}-\x{21AA}"
     r"\x{24C2}\x{25AA}-\x{25FE}\x{2934}\x{2935}\x{3030}\x{303D}\x{3297}\x{3299}]"
 )
 NON_ASCII_PATTERN = r"[^\x{0}-\x{7F}]"
+# The only characters outside A-Z whose lower case contains an ASCII letter:
+# capital I with dot above (-> "i" + combining dot) and the Kelvin sign (-> "k").
+LOWERS_TO_ASCII = "\u0130\u212a"
+# Characters that can still matter after lower-casing (see clean_text).
+PRE_LOWER_PATTERN = "(?U)[^A-Za-z" + LOWERS_TO_ASCII + SPACE + "]"
 SLUG_PATTERN = "[^a-z0-9]+"
 
 
@@ -80,9 +85,11 @@ def strip_hashtags(c: Column, repl: str = " ") -> Column:
     return F.regexp_replace(c, HASHTAG_PATTERN, repl)
 
 
-def letters_only(c: Column) -> Column:
-    """every char that is not a-z or whitespace -> space (case-sensitive)."""
-    return F.regexp_replace(c, NON_LETTER_PATTERN, " ")
+def letters_only(c: Column, runs: bool = False) -> Column:
+    """every char that is not a-z or whitespace -> space (case-sensitive).
+    ``runs=True`` replaces a whole run by one space (the same text once
+    whitespace is collapsed or split, with far fewer replacements)."""
+    return F.regexp_replace(c, NON_LETTER_PATTERN + ("+" if runs else ""), " ")
 
 
 def collapse_space(c: Column) -> Column:
@@ -92,10 +99,17 @@ def collapse_space(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """stage-1 cleaning (null -> '', URLs, mentions, hashtags, lower,
-    non-letters, whitespace).  One nested expression, no UDF."""
+    non-letters, whitespace).  One nested expression, no UDF.
+
+    ``letters_only(lower(x))`` is computed as
+    ``letters_only(lower(blank(x)))`` where ``blank`` first turns every
+    character that cannot lower-case to a-z or whitespace into a space:
+    the result is the same after whitespace collapsing, and ``lower`` then
+    runs on (almost) pure ASCII, Spark's fast path."""
     out = coalesce_text(c)
     out = strip_hashtags(strip_mentions(strip_urls(out)))
-    out = letters_only(F.lower(out))
+    out = F.regexp_replace(out, PRE_LOWER_PATTERN + "+", " ")
+    out = letters_only(F.lower(out), runs=True)
     return collapse_space(out)
 
 
@@ -118,13 +132,22 @@ def ascii_only(c: Column) -> Column:
     return F.regexp_replace(c, NON_ASCII_PATTERN, "")
 
 
-def normalize_prefix(c: Column) -> Column:
+def normalize_prefix(c: Column, runs: bool = False) -> Column:
     """The character-level part of full normalisation, before tokenising:
-    lower -> contractions -> emoji -> ASCII -> letters only."""
+    lower -> contractions -> emoji -> ASCII -> letters only.
+
+    Lower-casing is moved after the ASCII step (same result, fast ASCII
+    path): the contraction patterns are case-insensitive and contain
+    neither i nor k, emoji have no case, and the two characters whose lower
+    case is ASCII (dotted capital I, Kelvin sign) are mapped to i and k
+    before non-ASCII characters are deleted.  Of the emoji step only the
+    keycap part can change the result (every other emoji is non-ASCII and
+    is deleted next), so only keycaps are matched here.  ``runs=True`` for
+    callers that split on whitespace afterwards (see ``letters_only``)."""
     out = coalesce_text(c)
-    out = expand_contractions(F.lower(out))
-    out = ascii_only(strip_emoji(out))
-    return letters_only(out)
+    out = F.regexp_replace(expand_contractions(out), KEYCAP_PATTERN, "")
+    out = ascii_only(F.translate(out, LOWERS_TO_ASCII, "ik"))
+    return letters_only(F.lower(out), runs=runs)
 
 
 def whitespace_tokens(c: Column) -> Column:

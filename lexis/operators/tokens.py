@@ -128,7 +128,7 @@ def normalize_tokens(df: DataFrame, text_col: str, id_col: str, *,
 
     Lemma and stem are computed on the distinct surviving tokens (one
     pandas-UDF call per distinct token) and joined back."""
-    prepared = df.select(F.col(id_col), normalize_prefix(F.col(text_col)).alias("_t"))
+    prepared = df.select(F.col(id_col), normalize_prefix(F.col(text_col), runs=True).alias("_t"))
     toks = min_length(tokenize(prepared, "_t", id_col), min_token_length)
     words = stopword_list() if stopwords is None else stopwords
     if remove_stop:
