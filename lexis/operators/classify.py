@@ -69,7 +69,10 @@ def build_estimator(name: str, num_features: int, num_classes: int, p: SuitePara
                                                   maxDepth=6, seed=p.seed), parallelism=num_classes)
     if name == "Support Vector Machine":
         reg = 1.0 / (p.svm_c * num_rows) if num_rows else 0.0
-        return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, regParam=reg),
+        # no feature standardisation, as in a plain SVC on TF-IDF (and it
+        # converges several times faster on sparse, L2-normalised rows)
+        return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, regParam=reg,
+                                              standardization=False),
                          parallelism=num_classes)
     if name == "Naive Bayes":
         return NaiveBayes(smoothing=1.0, modelType="multinomial")

@@ -23,7 +23,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexis.operators.rows import DEFAULT_MAX_CLASSES, join_lookup, require_columns
+from lexis.operators.rows import DEFAULT_MAX_CLASSES, require_columns
+from lexis.session import cut_lineage
 
 BUCKET_DIGITS = 5
 
@@ -66,12 +67,20 @@ def train_quotas(counts: dict, test_size: float) -> dict:
 def stratified_split(df: DataFrame, label_col: str, id_col: str, *, test_size: float = 0.25,
                      seed=42, salt: str = "", split_col: str = "split",
                      names=("train", "test"), max_classes: int = DEFAULT_MAX_CLASSES) -> DataFrame:
-    """K1: add ``split_col`` = names[0] (train) or names[1] (test)."""
+    """K1: add ``split_col`` = names[0] (train) or names[1] (test).
+
+    Passes over ``df``: one aggregate (bucket counts, from which the class
+    counts follow), then the output itself as the union of the decided rows
+    and the ranked boundary rows.  Materialise an expensive input first."""
     require_columns(df, label_col, id_col)
     check_test_size(test_size)
-    lab = F.col(label_col)
-    key = split_key(id_col, seed, salt)
-    counts_rows = df.groupBy(lab).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
+    spark = df.sparkSession
+    keyed = df.withColumn("_key", split_key(id_col, seed, salt)) \
+        .withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
+    # (class, bucket) counts: at most K * 16^5 rows, combined map-side
+    buckets = cut_lineage(keyed.groupBy(label_col, "_bucket").agg(F.count(F.lit(1)).alias("_cnt")))
+    counts_rows = buckets.groupBy(label_col).agg(F.sum("_cnt").alias("n")) \
+        .limit(max_classes + 1).collect()
     if len(counts_rows) > max_classes:
         raise ValueError(f"more than {max_classes} classes in {label_col!r}")
     counts = {r[0]: r[1] for r in counts_rows}
@@ -79,48 +88,45 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, *, test_size: f
         raise ValueError(f"label column {label_col!r} contains nulls")
     quotas = train_quotas(counts, test_size)
 
-    spark = df.sparkSession
     ltype = df.schema[label_col].dataType.simpleString()
     quota_df = spark.createDataFrame([(c, q) for c, q in quotas.items()],
                                      f"`{label_col}` {ltype}, _quota long")
-    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
-    buckets = keyed.groupBy(label_col, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(label_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cum = buckets.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    cum = cum.join(F.broadcast(quota_df), label_col)
-    # the one bucket per class where the quota boundary falls
-    boundary = cum.where((F.col("_before") < F.col("_quota"))
-                         & (F.col("_before") + F.col("_cnt") > F.col("_quota")))
-    bounds = {r[0]: (r[1], r[2] - r[3]) for r in
-              boundary.select(label_col, "_bucket", "_quota", "_before").collect()}
-    # classes whose quota ends exactly on a bucket edge: last full bucket
-    edges = {r[0]: r[1] for r in cum.where(F.col("_before") + F.col("_cnt") <= F.col("_quota"))
-             .groupBy(label_col).agg(F.max("_bucket")).collect()}
+    cum = buckets.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))) \
+        .join(F.broadcast(quota_df), label_col)
+    # per class: the bucket where the quota boundary falls and the train rows
+    # still needed inside it, or else the last bucket that is wholly train
+    facts = cum.groupBy(label_col).agg(
+        F.max(F.when((F.col("_before") < F.col("_quota"))
+                     & (F.col("_before") + F.col("_cnt") > F.col("_quota")),
+                     F.struct(F.col("_bucket"), (F.col("_quota") - F.col("_before")))))
+        .alias("b"),
+        F.max(F.when(F.col("_before") + F.col("_cnt") <= F.col("_quota"), F.col("_bucket")))
+        .alias("_last_full"),
+    ).collect()
     bdf = spark.createDataFrame(
-        [(c, bounds[c][0] if c in bounds else None, bounds[c][1] if c in bounds else 0,
-          edges.get(c)) for c in quotas],
+        [(r[0], r["b"][0] if r["b"] else None, int(r["b"][1]) if r["b"] else 0, r["_last_full"])
+         for r in facts],
         f"`{label_col}` {ltype}, _bb string, _rem long, _last_full string")
-    keyed = keyed.join(F.broadcast(bdf), label_col)
+    keyed = keyed.join(F.broadcast(bdf), label_col, "left")
     in_boundary = F.col("_bb").isNotNull() & (F.col("_bucket") == F.col("_bb"))
+    decided = keyed.where(~in_boundary).withColumn(
+        "_train", F.when(F.col("_bb").isNotNull(), F.col("_bucket") < F.col("_bb"))
+        .otherwise(F.col("_last_full").isNotNull() & (F.col("_bucket") <= F.col("_last_full"))))
     # rank only rows of boundary buckets (about n / 16^5 rows per class)
-    edge_rows = keyed.where(in_boundary).select(
-        id_col, label_col, "_rem",
-        F.row_number().over(Window.partitionBy(label_col).orderBy("_key", id_col)).alias("_r"))
-    edge_train = edge_rows.where(F.col("_r") <= F.col("_rem")).select(id_col).withColumn(
-        "_edge_train", F.lit(True))
-    keyed = join_lookup(keyed, edge_train, id_col, "left")
-    is_train = F.when(in_boundary, F.coalesce(F.col("_edge_train"), F.lit(False))) \
-        .when(F.col("_bb").isNotNull(), F.col("_bucket") < F.col("_bb")) \
-        .otherwise(F.col("_last_full").isNotNull() & (F.col("_bucket") <= F.col("_last_full")))
-    out = keyed.withColumn(split_col, F.when(is_train, F.lit(names[0])).otherwise(F.lit(names[1])))
-    return out.drop("_key", "_bucket", "_bb", "_rem", "_last_full", "_edge_train")
+    edge = keyed.where(in_boundary).withColumn(
+        "_train", F.row_number().over(Window.partitionBy(label_col).orderBy("_key", id_col))
+        <= F.col("_rem"))
+    out = decided.unionByName(edge).withColumn(
+        split_col, F.when(F.col("_train"), F.lit(names[0])).otherwise(F.lit(names[1])))
+    return out.drop("_key", "_bucket", "_bb", "_rem", "_last_full", "_train")
 
 
 def three_way_split(df: DataFrame, label_col: str, id_col: str, *, test_size: float = 0.1,
                     validation_size: float = 0.2, seed=42, split_col: str = "split") -> DataFrame:
     """K2: test first, then validation as a fraction of the remainder."""
-    first = stratified_split(df, label_col, id_col, test_size=test_size, seed=seed, salt="test",
-                             split_col="_s1", names=("rest", "test"))
+    first = cut_lineage(stratified_split(df, label_col, id_col, test_size=test_size, seed=seed,
+                                         salt="test", split_col="_s1", names=("rest", "test")))
     rest = first.where(F.col("_s1") == "rest").drop("_s1")
     test = first.where(F.col("_s1") == "test").drop("_s1").withColumn(split_col, F.lit("test"))
     second = stratified_split(rest, label_col, id_col, test_size=validation_size, seed=seed,

@@ -51,6 +51,10 @@ def prepare_classification(df: DataFrame, text_col: str, label_col: str, id_col:
     cleaned = loaded.withColumn(text_col, clean_text(F.col(text_col)))
     if normalize:
         cleaned = normalize_text(cleaned, text_col, id_col)
+    # the split and the vectorisers read the cleaned corpus several times:
+    # materialise it once (shared checkpoint folder) instead of re-running
+    # dedup, cleaning and normalisation for every pass
+    cleaned = cut_lineage(cleaned)
     split = SP.stratified_split(cleaned, label_col, id_col, test_size=test_size, seed=seed)
     data = split.select(id_col, "label_id", F.col("label_id").cast("double").alias("label"),
                         "split", terms_column(text_col).alias("terms"))

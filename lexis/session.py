@@ -66,6 +66,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss (unlike localCheckpoint)."""
+    """Reliable checkpoint into the shared checkpoint folder: survives
+    executor loss (unlike localCheckpoint) and keeps the output
+    partitioning.  The input is persisted while the checkpoint is written
+    so that it is computed once, then released."""
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
