@@ -142,6 +142,27 @@ def vector_stages(tokens_col: str = "terms", out_col: str = "features", *,
     return cv, idf, out_col
 
 
+def narrow_vectors(model, k: int, out_col: str):
+    """The same weighting restricted to the ``k`` most frequent terms of a
+    model from ``fit_vectors`` (no second pass over the data): the first
+    ``k`` vocabulary entries, their idf factors, L2 normalisation."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+
+    cv, scale, _ = model.stages
+    vocab = cv.vocabulary[:k]
+    tokens_col = cv.getInputCol()
+    sub = CountVectorizerModel.from_vocabulary(vocab, inputCol=tokens_col,
+                                               outputCol=f"_{out_col}_tf")
+    weights = Vectors.dense(scale.getScalingVec().toArray()[:len(vocab)])
+    return PipelineModel(stages=[
+        sub,
+        ElementwiseProduct(inputCol=f"_{out_col}_tf", outputCol=f"_{out_col}_scaled", scalingVec=weights),
+        Normalizer(inputCol=f"_{out_col}_scaled", outputCol=out_col, p=2.0),
+    ])
+
+
 def fit_vectors(df: DataFrame, tokens_col: str = "terms", out_col: str = "features", **kw):
     """Fit the vector stages; returns a PipelineModel whose transform adds
     ``out_col`` (sparse, L2-normalised tf*(ln((1+n)/(1+df))+1))."""

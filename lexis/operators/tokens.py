@@ -135,6 +135,11 @@ def normalize_tokens(df: DataFrame, text_col: str, id_col: str, *,
         toks = remove_stopwords(toks, words)
     if lemmatize or stem:
         vocab = cut_lineage(toks.select("token").distinct())
+        if stem:
+            # the stemmer is CPU-bound Python: spread the (byte-wise small)
+            # vocabulary by row count, not by size, so that it is not
+            # coalesced into a handful of tasks
+            vocab = vocab.repartition(udf_partitions(vocab))
         if lemmatize:
             mapping = (lemma_table.select(F.col(lemma_table.columns[0]).alias("token"),
                                           F.col(lemma_table.columns[1]).alias("lemma"))
@@ -151,6 +156,15 @@ def normalize_tokens(df: DataFrame, text_col: str, id_col: str, *,
     return toks.where(F.col("token") != "")
 
 
+def udf_partitions(df: DataFrame, rows_per_task: int = 20_000) -> int:
+    """Partitions for a Python-UDF stage: about ``rows_per_task`` rows each,
+    at least one per core."""
+    import math
+
+    n = df.count()
+    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / rows_per_task))
+
+
 def join_tokens(tokens: DataFrame, df: DataFrame, id_col: str, out_col: str) -> DataFrame:
     """tokens back to one space-joined string per row of ``df`` (in
     ``pos`` order); rows without tokens get ''.  Groups are single

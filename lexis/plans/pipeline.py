@@ -61,8 +61,7 @@ def prepare_classification(df: DataFrame, text_col: str, label_col: str, id_col:
     data = cut_lineage(data)
     train = data.where(F.col("split") == "train")
     vec = TF.fit_vectors(train, "terms", "features", min_df=min_df, max_df=max_df)
-    narrow = TF.fit_vectors(train, "terms", "narrow", min_df=min_df, max_df=max_df,
-                            vocab_size=narrow_vocab)
+    narrow = TF.narrow_vectors(vec, narrow_vocab, "narrow")
     feats = narrow.transform(vec.transform(data)).select(
         id_col, "label_id", "label", "split", "features", "narrow")
     feats = cut_lineage(feats)
