@@ -198,4 +198,7 @@ def stem_column(c: Column, language: str = "english") -> Column:
     Apply it to distinct tokens and join the result back."""
     if language != "english":
         raise ValueError(f"stemmer language {language!r} is not supported (english only)")
+    from lexis.session import ship_package
+
+    ship_package()
     return _stem_udf(c)

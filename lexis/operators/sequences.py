@@ -73,6 +73,9 @@ def batch_predict(df: DataFrame, input_col: str, make_predict_fn, input_dim: int
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql.types import ArrayType, FloatType
 
+    from lexis.session import ship_package
+
+    ship_package(df.sparkSession)
     udf = predict_batch_udf(make_predict_fn, return_type=ArrayType(FloatType()),
                             batch_size=batch_size, input_tensor_shapes=[[input_dim]])
     return df.withColumn(out_col, udf(F.col(input_col)))

@@ -68,13 +68,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder: survives
     executor loss (unlike localCheckpoint) and keeps the output
-    partitioning.  The input is persisted while the checkpoint is written
-    so that it is computed once, then released."""
-    from pyspark import StorageLevel
-
+    partitioning.  (Not persisted first: a cached plan would keep the
+    configured shuffle partition count instead of AQE's coalesced one.)"""
     ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``lexis`` importable in Python workers (UDFs pickle functions by
+    reference): zip the package once per application and ``addPyFile`` it,
+    which distributes it to every executor."""
+    import shutil
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import lexis
+
+    pkg_dir = os.path.dirname(os.path.abspath(lexis.__file__))
+    base = tempfile.mkdtemp(prefix="lexis-pkg-")
+    archive = shutil.make_archive(os.path.join(base, "lexis"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="lexis")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
