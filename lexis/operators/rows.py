@@ -60,7 +60,9 @@ def dense_index(df: DataFrame, order_cols: list, name: str = "row_id",
     in-partition position from ``monotonically_increasing_id()``, and a
     (partitions-sized) offset table adds the rows of earlier partitions.
     The numbered frame is checkpointed so that recomputation after an
-    executor loss cannot renumber rows."""
+    executor loss cannot renumber rows.  ``order_cols`` must be unique
+    (add the id as a last key): ties would pile one key into one range
+    partition and make the numbering of tied rows arbitrary."""
     from lexis.session import cut_lineage
 
     spark = df.sparkSession
