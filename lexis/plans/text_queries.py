@@ -129,4 +129,4 @@ FROM embeddings
 """)
 def q_argmax_scores(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", "label", T.argmax(F.col("embedding")).alias("prediction"))
+    return e.select("vec_id", "label", T.argmax(F.col("embedding")).cast("int").alias("prediction"))
