@@ -118,7 +118,9 @@ class AdaBoost:
     grow by exp(alpha), weights renormalised; stop when err = 0 (the stump
     is perfect and gets weight 1) or err >= 1 - 1/K.  Each round's weights
     are checkpointed to the shared checkpoint folder, which cuts the
-    growing lineage and survives executor loss."""
+    growing lineage and survives executor loss (a reliable checkpoint, not
+    ``localCheckpoint``).  One aggregate per round gives both the error and
+    the next normalising total."""
 
     def __init__(self, rounds: int = 50, learning_rate: float = 1.0, seed: int = 42,
                  num_classes: int = 2):
@@ -153,7 +155,9 @@ class AdaBoost:
             alphas.append(alpha)
             nxt = pred.withColumn("_w", F.when(F.col("_wrong"), F.col("_w") * F.lit(math.exp(alpha)))
                                   .otherwise(F.col("_w")))
-            total = nxt.agg(F.sum("_w")).first()[0]
+            # new weight total from the error pass (no extra scan):
+            # correct rows keep t - e, wrong rows grow to e * exp(alpha)
+            total = agg["t"] + (agg["e"] or 0.0) * (math.exp(alpha) - 1.0)
             cur = cut_lineage(nxt.select("features", "label",
                                          (F.col("_w") / F.lit(total)).alias("_w")))
         return AdaBoostModel(stumps, alphas, k)
