@@ -46,3 +46,21 @@ def test_adaboost_uses_checkpoints(spark):
     m = C.AdaBoost(rounds=3, num_classes=2).fit(train)
     assert len(m.stumps) >= 1
     assert C.accuracy(m.transform(toy(spark, 10, 4))) == 1.0
+
+
+def test_adaboost_reweights_over_rounds(spark):
+    # three classes, each stump can isolate only one of them: reaching full
+    # accuracy needs several rounds with correctly renormalised weights
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    rows = []
+    for i in range(30):
+        c = i % 3
+        rows.append((Vectors.dense([1.0 if c == 0 else 0.0, 1.0 if c == 1 else 0.0]), float(c)))
+    schema = StructType([StructField("features", VectorUDT()), StructField("label", DoubleType())])
+    df = spark.createDataFrame(rows, schema)
+    m = C.AdaBoost(rounds=4, num_classes=3).fit(df)
+    assert len(m.stumps) >= 2
+    assert all(a > 0 for a in m.alphas)
+    assert C.accuracy(m.transform(df)) == 1.0
