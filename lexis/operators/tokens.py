@@ -8,27 +8,16 @@ lookups grow with the vocabulary rather than with the corpus.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexis.functions.stem import stem_column
+from lexis.functions.stopwords import EXTRA_STOPWORDS, STANDARD_STOPWORDS
 from lexis.functions.text import MULTISPACE_PATTERN, normalize_prefix
 from lexis.operators.rows import join_lookup, require_columns
 from lexis.session import cut_lineage
 
-# ---------------------------------------------------------------------------
-# Fixed values
-# ---------------------------------------------------------------------------
-# Domain/noise tokens removed on top of the standard English stop words.
-EXTRA_STOPWORDS = frozenset({
-    "rt", "mkr", "didn", "bc", "n", "m", "im", "ll", "y", "ve", "u", "ur",
-    "don", "p", "t", "s", "aren", "kp", "o", "kat", "de", "re", "amp", "will",
-})
+# Fixed values.
 # Noun suffix-detachment rules (WordNet morphology), in rule order.
 NOUN_RULES = (
     ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
@@ -36,25 +25,9 @@ NOUN_RULES = (
 )
 
 
-@lru_cache(maxsize=1)
-def standard_stopwords() -> tuple[str, ...]:
-    """Spark's English stop-word list (shipped inside the Spark ML jar)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                return tuple(z.read(name).decode("utf-8").split())
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 def stopword_list(extra=EXTRA_STOPWORDS, base=None) -> list[str]:
     """Union (distinct) of the standard list and the extra words."""
-    words = set(standard_stopwords() if base is None else base) | set(extra)
+    words = set(STANDARD_STOPWORDS if base is None else base) | set(extra)
     return sorted(words)
 
 

@@ -10,15 +10,13 @@ own under the system temp dir.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_FALLBACK_DIR: str | None = None
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "lexis") -> SparkSession:
     """Session for tests and benchmarks on one machine."""
@@ -42,21 +40,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if
-    the cluster did not configure ``spark.checkpoint.dir``."""
-    global _FALLBACK_DIR
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The checkpoint folder of this SparkContext: the one already set, else
+    the one named in ``spark.checkpoint.dir``.  Only a purely local master
+    (tests, a laptop) gets a temp folder of its own; anywhere else a missing
+    setting is an error, because executors would not see each other's files."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if _FALLBACK_DIR != configured:
-            spark.sparkContext.setCheckpointDir(configured)
-            _FALLBACK_DIR = configured
-        return configured
-    if _FALLBACK_DIR is None:
-        _FALLBACK_DIR = tempfile.mkdtemp(prefix="lexis-ckpt-")
-        spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
-    return _FALLBACK_DIR
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="lexis-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -65,6 +63,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared scratch folder and read it
+    back: a compressed, columnar lineage cut whose later readers prune
+    columns; like a checkpoint it survives the loss of executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder: survives
     executor loss (unlike localCheckpoint) and keeps the output
