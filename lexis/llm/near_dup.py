@@ -9,12 +9,14 @@ candidates, and candidates are confirmed with 100*|A and B| >= 75*|A or B| on
 their full shingle sets.
 
 Scale: documents with equal sets form one class (aggregated map-side), and only
-classes are compared.  In a bucket every class is compared with one pivot, the
-best-connected class; buckets whose members are then connected are done.  What
-is left after a few rounds of pivots is compared across components, where exact
-distances to a shared pivot rule out most pairs by the triangle inequality.  No
-pair of different components in a bucket goes unverified, and no bucket of a
-connected group is expanded into pairs.
+classes are compared.  In a bucket every class is compared with one pivot, first
+the best-connected class, then the one with the fewest shingles of its own;
+buckets whose members are then connected are done.  What is left is compared
+across components, where exact bounds rule out most pairs: shingles that no other
+candidate has can't be shared, distances to a common pivot differ by no more than
+the distance of the pair, and parity bitmaps of the sets differ in no more bits
+than the sets have different shingles.  So no pair of different components in a
+bucket goes undecided, and no bucket of a connected group is expanded into pairs.
 
 Defined cases: null text counts as empty; a text without words has no shingles,
 stands alone and is kept.  Rows without a doc_id are never linked
@@ -37,7 +39,7 @@ from lexis.session import ship_package, written
 BANDS, ROWS = 48, 5  # misses a pair at exactly 0.75 with probability 2e-6
 SLOTS = 1 << 22
 SEED = 11
-PIVOT_ROUNDS = 3
+PARITY_BITS = 1024
 _BLOCK = 4096  # shingles whose slices are gathered at a time
 _TABLE: dict = {}
 
@@ -97,14 +99,24 @@ def _sketch(bands: int, rows: int):
     return run
 
 
+def parity(shingle_hashes: np.ndarray) -> np.ndarray:
+    """Bitmap of a set: bit b is the parity of the shingles hashed to it.  Two
+    bitmaps differ in at most as many bits as their sets have shingles that the
+    other lacks."""
+    odd = np.bincount((shingle_hashes % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches):
     for batch in batches:
-        keys, sets = [], []
+        keys, sets, bits = [], [], []
         for _, s in _each(batch):
             keys.append(_set_key(s) if len(s) else None)
             sets.append(s.view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
-                                         ["cls", "set"])
+            bits.append(parity(s))
+        longs = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, longs), pa.array(bits, longs)],
+                                         ["cls", "set", "bits"])
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -151,11 +163,39 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return out.withColumn("linked", _similar(F.col("common"), F.col("n1"), F.col("n2")))
 
 
-def _sizes_fit(n1: str, n2: str) -> Column:
-    return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * 75
+def _may_link(n1: str, s1: str, n2: str, s2: str) -> Column:
+    """Whether sets of n shingles, s of which occur in any other candidate, can
+    be similar: they share at most the smaller s, and their union holds both
+    sets' own shingles and the larger s."""
+    common = F.least(s1, s2)
+    union = F.col(n1) - F.col(s1) + F.col(n2) - F.col(s2) + F.greatest(s1, s2)
+    return common * 100 >= union * 75
+
+
+def _open(member: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Members, with their components, of the buckets that hold more than one."""
+    if roots is None:
+        cur = member.withColumn("root", F.col("cls"))
+    else:
+        cur = member.join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
+            .withColumn("root", F.coalesce("root", "cls"))
+    mixed = cur.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
+        .where("lo <> hi").select("bucket")
+    return cur.join(mixed, "bucket", "left_semi")
+
+
+def _shared_counts(cur: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cls, s): how many of a class's shingles occur in any other class of
+    ``cur``.  Shingles with a single holder are counted per holder, so no
+    shingle's holders are ever gathered."""
+    there = sets.join(cur.select("cls").distinct(), "cls", "left_semi")
+    alone = there.select("cls", F.explode("set").alias("x")).groupBy("x").agg(
+        F.count(F.lit(1)).alias("c"), F.min("cls").alias("cls")).where("c = 1").groupBy("cls").agg(F.count(F.lit(1)).alias("u"))
+    return there.select("cls", F.size("set").cast("bigint").alias("n")).join(alone, "cls", "left").select(
+        "cls", (F.col("n") - F.coalesce("u", F.lit(0))).alias("s"))
 
 
-def class_components(docs: DataFrame, sk: DataFrame, pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
+def class_components(docs: DataFrame, sk: DataFrame) -> DataFrame:
     """(cls, root) for every class linked to another one."""
     known = sk.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
     classes = known.groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
@@ -164,35 +204,33 @@ def class_components(docs: DataFrame, sk: DataFrame, pivot_rounds: int = PIVOT_R
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     member = written(rows.join(shared, "bucket"), "members")
     weight = member.groupBy("cls").agg(F.sum("c").alias("w"))
-    member = written(member.join(weight, "cls").select("bucket", "cls", "n", "w"), "members")
+    member = written(member.join(weight, "cls").select("bucket", "cls", "n", F.col("n").alias("s"), "w"), "members")
 
     wanted = classes.join(weight, "cls", "left_semi").select("doc_id").distinct()
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = text.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(
-        _sets, "cls binary, set array<bigint>").where("cls is not null").dropDuplicates(["cls"])
+        _sets, "cls binary, set array<bigint>, bits array<bigint>").where("cls is not null").dropDuplicates(["cls"])
     sets = written(sets, "sets")
 
-    tested, roots, pivots = None, None, None
-    for round_no in range(pivot_rounds + 1):
-        if roots is None:
-            cur = member.withColumn("root", F.col("cls"))
-        else:
-            cur = member.join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
-                .withColumn("root", F.coalesce("root", "cls"))
-        open_ = cur.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
-            .where("lo <> hi").select("bucket")
-        cur = written(cur.join(open_, "bucket", "left_semi"), "open")
+    tested = roots = pivots = None
+    for step in ("hub", "centre", "rest"):
+        cur = written(_open(member, roots), "open")
         if cur.isEmpty():
             break
-        if round_no < pivot_rounds:
-            free = cur if pivots is None else cur.join(pivots, ["bucket", "cls"], "left_anti")
-            lead = free.groupBy("bucket").agg(F.max(F.struct("w", "cls", "n", "root")).alias("p"))
-            new = written(lead.select("bucket", F.col("p.cls").alias("cls")), "pivots")
-            pivots = new if pivots is None else pivots.union(new)
-            pairs = cur.join(lead, "bucket").where("root <> p.root").where(_sizes_fit("n", "p.n")) \
-                .select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")).distinct()
+        if step == "centre":
+            s = _shared_counts(cur, sets)
+            member = written(cur.drop("s", "root").join(s, "cls").where(_may_link("n", "s", "n", "s")), "members")
+            cur = written(_open(member, roots), "open")
+        if step == "rest":
+            pairs = _rest(cur.join(sets.select("cls", "bits"), "cls"), pivots, tested)
         else:
-            pairs = _rest(cur, pivots, tested)
+            lead = cur.groupBy("bucket").agg(F.max(F.struct((F.col("s") - F.col("n")).alias("own"), "w", "cls", "n", "s", "root"))
+                                             .alias("p")).select("bucket", "p")
+            pivots = written(lead.select("bucket", F.col("p.cls").alias("p")), "pivots")
+            pairs = cur.join(lead.select("bucket", F.col("p.cls").alias("pc"), F.col("p.n").alias("pn"),
+                                         F.col("p.s").alias("ps"), F.col("p.root").alias("pr")), "bucket") \
+                .where("root <> pr").where(_may_link("n", "s", "pn", "ps")) \
+                .select(F.least("cls", "pc").alias("a"), F.greatest("cls", "pc").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         found = written(_verify(pairs, sets), "verified")
@@ -204,32 +242,26 @@ def class_components(docs: DataFrame, sk: DataFrame, pivot_rounds: int = PIVOT_R
     return roots.withColumnRenamed("node", "cls")
 
 
-def _rest(cur: DataFrame, pivots: DataFrame, tested: DataFrame | None) -> DataFrame:
-    """Pairs of one bucket that are still in different components and that
-    the size bound and the distances to the bucket's first pivot allow."""
-    if tested is not None:
-        d = tested.select("a", "b", (1 - F.col("common") / (F.col("n1") + F.col("n2") - F.col("common"))).alias("d"))
-        first = pivots.dropDuplicates(["bucket"]).select("bucket", F.col("cls").alias("p"))
-        cur = cur.join(first, "bucket", "left") \
-            .withColumn("a", F.least("cls", "p")).withColumn("b", F.greatest("cls", "p")) \
-            .join(d, ["a", "b"], "left").drop("a", "b")
-    else:
-        cur = cur.withColumn("d", F.lit(None).cast("double"))
-    x = cur.select("bucket", F.col("cls").alias("c1"), F.col("root").alias("r1"), F.col("n").alias("n1"),
-                   F.col("d").alias("d1"))
-    y = cur.select("bucket", F.col("cls").alias("c2"), F.col("root").alias("r2"), F.col("n").alias("n2"),
-                   F.col("d").alias("d2"))
-    pairs = x.join(y, "bucket").where("r1 < r2").where(_sizes_fit("n1", "n2"))
-    pairs = pairs.where(F.coalesce(F.abs(F.col("d1") - F.col("d2")), F.lit(0.0)) <= 0.2500001)
-    return pairs.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
-
-
-def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
-                    pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
+def _rest(cur: DataFrame, pivots: DataFrame, tested: DataFrame) -> DataFrame:
+    """Pairs of one bucket that are in different components and that neither
+    their shared shingles, nor the distances to the bucket's pivot, nor their
+    parity bitmaps rule out."""
+    d = tested.select("a", "b", (1 - F.col("common") / (F.col("n1") + F.col("n2") - F.col("common"))).alias("d"))
+    cur = cur.join(pivots, "bucket", "left") \
+        .withColumn("a", F.least("cls", "p")).withColumn("b", F.greatest("cls", "p")).join(d, ["a", "b"], "left")
+    x, y = (cur.select("bucket", *[F.col(c).alias(c + k) for c in ("cls", "root", "n", "s", "d", "bits")]) for k in "12")
+    apart = F.coalesce(F.abs(F.col("d1") - F.col("d2")), F.lit(0.0))
+    differ = sum((F.bit_count(F.col("bits1")[i].bitwiseXOR(F.col("bits2")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    pairs = x.join(y, "bucket").where("root1 < root2").where(_may_link("n1", "s1", "n2", "s2")).where(apart <= 0.2500001) \
+        .where(differ * 7 <= F.col("n1") + F.col("n2"))  # 0.75 or more leaves a seventh at most to one set alone
+    return pairs.select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b")).distinct()
+
+
+def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id
     linked to it directly or through others) and kept."""
     sk = written(sketches(docs, bands, rows), "sketches")
-    roots = class_components(docs, sk, pivot_rounds)
+    roots = class_components(docs, sk)
     known = sk.where("cls is not null and doc_id is not null")
     least = known.groupBy("cls").agg(F.min("doc_id").alias("least"))
     of_class = written(least.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "classes")
@@ -242,8 +274,15 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each group (the smallest doc_id; of its repeated rows
-    one): the pipeline's stage.  Rows without a doc_id stay."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    return kept
+    """One document of each group, that with the smallest doc_id, and one of its
+    repeated rows: the pipeline's stage.  Rows without a doc_id stay."""
+    found = written(near_duplicates(docs), "near")
+    gone = found.where("not kept").select("doc_id").distinct()
+    # ids of several rows are few: only those rows are compared whole
+    again = written(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+                    "repeated")
+    once = docs.join(gone.union(again), "doc_id", "left_anti").select(docs.columns)
+    if again.isEmpty():
+        return once
+    more = docs.join(again.join(gone, "doc_id", "left_anti"), "doc_id", "left_semi").select(docs.columns)
+    return once.union(more.dropDuplicates(["doc_id", "text"]))
