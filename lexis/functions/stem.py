@@ -1,32 +1,32 @@
-"""English Porter2 ("Snowball English") stemmer, written from the published
-algorithm description, used as a small per-token helper.
+"""English Porter2 ("Snowball English") stems as column expressions.
 
-Spark calls it through ``stem_column`` (an Arrow-batched pandas UDF) on the
-*distinct* vocabulary only, so Python work grows with the vocabulary, not
-with the corpus.
+Written from the published algorithm.  Each step maps an array of small structs
+(word, region starts) to the next one with ``transform``; a lambda variable is a
+value, not an expression, so the steps do not blow up into one another and no
+Python worker is needed.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # ---------------------------------------------------------------------------
 # Fixed values from the published algorithm
 # ---------------------------------------------------------------------------
-VOWELS = frozenset("aeiouy")
+VOWEL = "[aeiouy]"
+NON_VOWEL = "[^aeiouy]"
 DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
-LI_ENDINGS = frozenset("cdeghkmnrt")
+LI_ENDINGS = "cdeghkmnrt"
 EXCEPTIONS = {
     "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
     "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
     "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas",
     "cosmos": "cosmos", "bias": "bias", "andes": "andes",
 }
-AFTER_1A = frozenset(("inning", "outing", "canning", "herring", "earring",
-                      "proceed", "exceed", "succeed"))
+AFTER_1A = ("inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed")
 R1_PREFIXES = ("gener", "commun", "arsen")
 STEP2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
@@ -42,163 +42,162 @@ STEP3 = (
 )
 STEP4 = ("ement", "ment", "able", "ible", "ance", "ence", "ate", "iti", "ion", "ism",
          "ous", "ive", "ize", "al", "er", "ic", "ant", "ent")
+FIRST_REGION = "^.*?" + VOWEL + NON_VOWEL
+SHORT_SYLLABLE = "(" + NON_VOWEL + VOWEL + "[^aeiouywxY]|^" + VOWEL + NON_VOWEL + ")$"
+
+
+def _cut(w: Column, n: int, tail: str = "") -> Column:
+    """``w`` without its last ``n`` characters, then ``tail``."""
+    kept = F.substring(w, F.lit(1), F.length(w) - n)
+    return F.concat(kept, F.lit(tail)) if tail else kept
+
+
+def _region(w: Column, start: Column) -> Column:
+    """Start of the region after the first non-vowel that follows a vowel."""
+    found = F.length(F.regexp_extract(F.substring(w, start + 1, F.length(w)), FIRST_REGION, 0))
+    return F.when(found > 0, start + found).otherwise(F.length(w))
+
+
+def _ends(w: Column, suffixes) -> Column:
+    return reduce(lambda a, b: a | b, [w.endswith(s) for s in suffixes])
+
+
+def _by_length(table):
+    """Suffixes, the longest first: the first that matches is the longest."""
+    return sorted(table, key=lambda r: -len(r[0] if isinstance(r, tuple) else r))
+
+
+def _marked(t: Column) -> Column:
+    t = F.when(t.startswith("'"), F.substring(t, F.lit(2), F.length(t))).otherwise(t)
+    return F.regexp_replace(F.regexp_replace(t, "^y", "Y"), "(" + VOWEL + ")y", "$1Y")
 
 
-def _is_vowel(ch: str) -> bool:
-    return ch in VOWELS
-
-
-def _region_after(word: str, start: int) -> int:
-    """Index after the first non-vowel that follows a vowel, from ``start``."""
-    for i in range(start + 1, len(word)):
-        if not _is_vowel(word[i]) and _is_vowel(word[i - 1]):
-            return i + 1
-    return len(word)
-
-
-def _ends_short_syllable(w: str) -> bool:
-    if len(w) >= 3:
-        return (not _is_vowel(w[-3]) and _is_vowel(w[-2]) and not _is_vowel(w[-1])
-                and w[-1] not in "wxY")
-    return len(w) == 2 and _is_vowel(w[0]) and not _is_vowel(w[1])
-
-
-def _longest(word: str, suffixes):
-    best = None
-    for item in suffixes:
-        suf = item[0] if isinstance(item, tuple) else item
-        if word.endswith(suf) and (best is None or len(suf) > len(best[0])):
-            best = (suf, item)
-    return best
-
-
-def stem(word: str) -> str:
-    """Porter2 stem of one lower-case token."""
-    if word is None:
-        return None
-    if len(word) <= 2:
-        return word
-    if word in EXCEPTIONS:
-        return EXCEPTIONS[word]
-    if word.startswith("'"):
-        word = word[1:]
-    # mark consonantal y
-    chars = list(word)
-    for i, ch in enumerate(chars):
-        if ch == "y" and (i == 0 or chars[i - 1] in VOWELS):
-            chars[i] = "Y"
-    w = "".join(chars)
-
-    r1 = None
+def _prefix_region(w: Column) -> Column:
+    out = _region(w, F.lit(0))
     for p in R1_PREFIXES:
-        if w.startswith(p):
-            r1 = len(p)
-            break
-    if r1 is None:
-        r1 = _region_after(w, 0)
-    r2 = _region_after(w, r1)
-
-    # step 0
-    for suf in ("'s'", "'s", "'"):
-        if w.endswith(suf):
-            w = w[: -len(suf)]
-            break
-
-    # step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ied") or w.endswith("ies"):
-        w = w[:-2] if len(w) > 4 else w[:-1]
-    elif w.endswith("us") or w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        if any(_is_vowel(c) for c in w[:-2]):
-            w = w[:-1]
-    if w in AFTER_1A:
-        return w
-
-    # step 1b
-    hit = _longest(w, ("eed", "eedly", "ed", "edly", "ing", "ingly"))
-    if hit:
-        suf = hit[0]
-        if suf in ("eed", "eedly"):
-            if len(w) - len(suf) >= r1:
-                w = w[: -len(suf)] + "ee"
-        else:
-            stem_part = w[: -len(suf)]
-            if any(_is_vowel(c) for c in stem_part):
-                w = stem_part
-                if w.endswith(("at", "bl", "iz")):
-                    w += "e"
-                elif w.endswith(DOUBLES):
-                    w = w[:-1]
-                elif r1 >= len(w) and _ends_short_syllable(w):
-                    w += "e"
-
-    # step 1c
-    if len(w) > 2 and w[-1] in "yY" and not _is_vowel(w[-2]):
-        w = w[:-1] + "i"
-
-    # step 2
-    hit = _longest(w, STEP2)
-    if hit:
-        suf, (_, repl) = hit
-        if len(w) - len(suf) >= r1:
-            if suf == "ogi":
-                if w[: -3].endswith("l"):
-                    w = w[:-3] + "og"
-            elif suf == "li":
-                if len(w) >= 3 and w[-3] in LI_ENDINGS:
-                    w = w[:-2]
-            else:
-                w = w[: -len(suf)] + repl
-
-    # step 3
-    hit = _longest(w, STEP3)
-    if hit:
-        suf, (_, repl) = hit
-        if len(w) - len(suf) >= r1:
-            if suf == "ative":
-                if len(w) - len(suf) >= r2:
-                    w = w[: -len(suf)]
-            else:
-                w = w[: -len(suf)] + repl
-
-    # step 4
-    hit = _longest(w, STEP4)
-    if hit:
-        suf = hit[0]
-        if len(w) - len(suf) >= r2:
-            if suf == "ion":
-                if w[:-3].endswith(("s", "t")):
-                    w = w[:-3]
-            else:
-                w = w[: -len(suf)]
-
-    # step 5
-    if w.endswith("e"):
-        if len(w) - 1 >= r2:
-            w = w[:-1]
-        elif len(w) - 1 >= r1 and not _ends_short_syllable(w[:-1]):
-            w = w[:-1]
-    elif w.endswith("l"):
-        if len(w) - 1 >= r2 and w.endswith("ll"):
-            w = w[:-1]
-
-    return w.replace("Y", "y")
-
-
-@F.pandas_udf(StringType())
-def _stem_udf(tokens: pd.Series) -> pd.Series:
-    return tokens.map(stem)
+        out = F.when(w.startswith(p), F.lit(len(p))).otherwise(out)
+    return out
 
 
-def stem_column(c: Column, language: str = "english") -> Column:
-    """Porter2 stem of a token column (Arrow-batched pandas UDF).
-    Apply it to distinct tokens and join the result back."""
+def _step_0(x):
+    return F.regexp_replace(x["w"], "'s'$|'s$|'$", "")
+
+
+def _step_1a(x):
+    w = x["w"]
+    return (F.when(w.endswith("sses"), _cut(w, 2))
+            .when(_ends(w, ("ied", "ies")), F.when(F.length(w) > 4, _cut(w, 2)).otherwise(_cut(w, 1)))
+            .when(_ends(w, ("us", "ss")), w)
+            .when(w.endswith("s") & _cut(w, 2).rlike(VOWEL), _cut(w, 1)).otherwise(w))
+
+
+def _step_1b(x):
+    """Drops ed/ing endings; what must follow is left to the next step by
+    the marker character '*'."""
+    w, r1 = x["w"], x["r1"]
+
+    def removed(n):
+        return F.when(_cut(w, n).rlike(VOWEL), F.concat(_cut(w, n), F.lit("*"))).otherwise(w)
+
+    out = F.when(w.endswith("eedly"), F.when(F.length(w) - 5 >= r1, _cut(w, 3)).otherwise(w))
+    out = out.when(w.endswith("ingly"), removed(5)).when(w.endswith("edly"), removed(4))
+    out = out.when(w.endswith("eed"), F.when(F.length(w) - 3 >= r1, _cut(w, 1)).otherwise(w))
+    return out.when(w.endswith("ing"), removed(3)).when(w.endswith("ed"), removed(2)).otherwise(w)
+
+
+def _step_1b_tail(x):
+    m, r1 = x["w"], x["r1"]
+    w = _cut(m, 1)
+    fixed = (F.when(_ends(m, ("at*", "bl*", "iz*")), _cut(m, 1, "e"))
+             .when(_ends(m, [d + "*" for d in DOUBLES]), _cut(m, 2))
+             .when((r1 >= F.length(m) - 1) & w.rlike(SHORT_SYLLABLE), _cut(m, 1, "e")).otherwise(w))
+    return F.when(m.endswith("*"), fixed).otherwise(m)
+
+
+def _step_1c(x):
+    w = x["w"]
+    return F.when((F.length(w) > 2) & w.rlike(NON_VOWEL + "[yY]$"), _cut(w, 1, "i")).otherwise(w)
+
+
+def _step_2(x):
+    w, r1, out = x["w"], x["r1"], None
+    for suffix, tail in _by_length(STEP2):
+        fits = F.length(w) - len(suffix) >= r1
+        if suffix == "ogi":
+            fits = fits & w.endswith("logi")
+        if suffix == "li":
+            fits = fits & w.rlike("[" + LI_ENDINGS + "]li$")
+        then = F.when(fits, _cut(w, len(suffix), tail)).otherwise(w)
+        out = F.when(w.endswith(suffix), then) if out is None else out.when(w.endswith(suffix), then)
+    return out.otherwise(w)
+
+
+def _step_3(x):
+    w, out = x["w"], None
+    for suffix, tail in _by_length(STEP3):
+        fits = F.length(w) - len(suffix) >= x["r1"]
+        if suffix == "ative":
+            fits = fits & (F.length(w) - len(suffix) >= x["r2"])
+        then = F.when(fits, _cut(w, len(suffix), tail)).otherwise(w)
+        out = F.when(w.endswith(suffix), then) if out is None else out.when(w.endswith(suffix), then)
+    return out.otherwise(w)
+
+
+def _step_4(x):
+    w, out = x["w"], None
+    for suffix in _by_length(STEP4):
+        fits = F.length(w) - len(suffix) >= x["r2"]
+        if suffix == "ion":
+            fits = fits & w.rlike("[st]ion$")
+        then = F.when(fits, _cut(w, len(suffix))).otherwise(w)
+        out = F.when(w.endswith(suffix), then) if out is None else out.when(w.endswith(suffix), then)
+    return out.otherwise(w)
+
+
+def _step_5(x):
+    w, last = x["w"], F.length(x["w"]) - 1
+    drop_e = (last >= x["r2"]) | ((last >= x["r1"]) & ~_cut(w, 1).rlike(SHORT_SYLLABLE))
+    drop_l = (last >= x["r2"]) & w.endswith("ll")
+    return F.when((w.endswith("e") & drop_e) | (w.endswith("l") & drop_l), _cut(w, 1)).otherwise(w)
+
+
+STEPS = (_step_0, _step_1a, _step_1b, _step_1b_tail, _step_1c, _step_2, _step_3, _step_4, _step_5)
+
+
+def _applied(step):
+    """A step as a function of the struct, idle for words that are done."""
+    def apply(x):
+        done = x["fixed"]
+        if step is _step_1b:  # words that stop after step 1a
+            done = F.when(x["w"].isin(list(AFTER_1A)), x["w"]).otherwise(done)
+        return F.struct(F.when(done.isNull(), step(x)).otherwise(x["w"]).alias("w"), x["r1"].alias("r1"),
+                        x["r2"].alias("r2"), done.alias("fixed"))
+
+    return apply
+
+
+def stem_tokens(tokens: Column, language: str = "english") -> Column:
+    """Porter2 stems of an array of lower-case tokens."""
     if language != "english":
         raise ValueError(f"stemmer language {language!r} is not supported (english only)")
-    from lexis.session import ship_package
+    words = list(EXCEPTIONS)
+
+    def begin(t):
+        fixed = F.lit(None).cast("string")
+        for word, out in EXCEPTIONS.items():
+            fixed = F.when(t == word, F.lit(out)).otherwise(fixed)
+        fixed = F.when(F.length(t) <= 2, t).when(t.isin(words), fixed)
+        return F.struct(_marked(t).alias("w"), fixed.alias("fixed"))
+
+    cur = F.transform(F.transform(tokens, begin), lambda x: F.struct(
+        x["w"].alias("w"), _prefix_region(x["w"]).alias("r1"), x["fixed"].alias("fixed")))
+    cur = F.transform(cur, lambda x: F.struct(x["w"].alias("w"), x["r1"].alias("r1"), _region(x["w"], x["r1"]).alias("r2"),
+                                              x["fixed"].alias("fixed")))
+    for step in STEPS:
+        cur = F.transform(cur, _applied(step))
+    return F.transform(cur, lambda x: F.coalesce(x["fixed"], F.translate(x["w"], "Y", "y")))
 
-    ship_package()
-    return _stem_udf(c)
+
+def stem_column(c: Column, language: str = "english") -> Column:
+    """F13 for one token."""
+    return F.when(c.isNotNull(), stem_tokens(F.array(c), language)[0])

@@ -31,8 +31,8 @@ MENTION_PATTERN = "@[" + WORD + "]+"
 HASHTAG_PATTERN = "#[" + WORD + "]+"
 NON_LETTER_PATTERN = "(?U)[^a-z" + SPACE + "]"
 MULTISPACE_PATTERN = "(?U)[" + SPACE + "]+"
-# Contraction expansions, case-insensitive, applied in this order
-# (specific won't/can't before the broad n't rule).
+# Contractions and what they stand for; order matters, since "n't" alone
+# would also match inside the two irregular ones.
 CONTRACTIONS = (
     ("won't", "will not"),
     ("can't", "can not"),
@@ -44,18 +44,29 @@ CONTRACTIONS = (
     ("'ve", " have"),
     ("'m", " am"),
 )
-# Emoji: keycap sequences first (so the ASCII base goes with its cap), then
-# pictographic blocks, dingbats/misc symbols, regional indicators, tag
-# characters and the joiners/selectors that glue sequences together
-# (Unicode emoji-data blocks).
+# Emoji code points (the Emoji property of the public Unicode emoji data, without
+# digits, # and *), as ranges in code point order.
+EMOJI_RANGES = """
+00A9 00AE 203C 2049 2122 2139 2194-2199 21A9-21AA 231A-231B 2328 23CF 23E9-23F3 23F8-23FA 24C2 25AA-25AB 25B6 25C0
+25FB-25FE 2600-2604 260E 2611 2614-2615 2618 261D 2620 2622-2623 2626 262A 262E-262F 2638-263A 2640 2642 2648-2653
+265F-2660 2663 2665-2666 2668 267B 267E-267F 2692-2697 2699 269B-269C 26A0-26A1 26A7 26AA-26AB 26B0-26B1 26BD-26BE
+26C4-26C5 26C8 26CE-26CF 26D1 26D3-26D4 26E9-26EA 26F0-26F5 26F7-26FA 26FD 2702 2705 2708-270D 270F 2712 2714 2716
+271D 2721 2728 2733-2734 2744 2747 274C 274E 2753-2755 2757 2763-2764 2795-2797 27A1 27B0 27BF 2934-2935 2B05-2B07
+2B1B-2B1C 2B50 2B55 3030 303D 3297 3299
+1F004 1F0CF 1F170-1F171 1F17E-1F17F 1F18E 1F191-1F19A 1F1E6-1F1FF 1F201-1F202 1F21A 1F22F 1F232-1F23A 1F250-1F251
+1F300-1F321 1F324-1F393 1F396-1F397 1F399-1F39B 1F39E-1F3F0 1F3F3-1F3F5 1F3F7-1F4FD 1F4FF-1F53D 1F549-1F54E
+1F550-1F567 1F56F-1F570 1F573-1F57A 1F587 1F58A-1F58D 1F590 1F595-1F596 1F5A4-1F5A5 1F5A8 1F5B1-1F5B2 1F5BC
+1F5C2-1F5C4 1F5D1-1F5D3 1F5DC-1F5DE 1F5E1 1F5E3 1F5E8 1F5EF 1F5F3 1F5FA-1F64F 1F680-1F6C5 1F6CB-1F6D2 1F6D5-1F6D7
+1F6DC-1F6E5 1F6E9 1F6EB-1F6EC 1F6F0 1F6F3-1F6FC 1F7E0-1F7EB 1F7F0 1F90C-1F93A 1F93C-1F945 1F947-1F9FF 1FA70-1FA7C
+1FA80-1FA89 1FA8F-1FAC6 1FACE-1FADC 1FADF-1FAE9 1FAF0-1FAF8
+""".split()
+_EMOJI = "[" + "".join("-".join(f"\\x{{{x}}}" for x in r.split("-")) for r in EMOJI_RANGES) + "]"
+# What may follow an emoji and belongs to it: a selector, a skin tone, tags.
+_AFTER_EMOJI = r"[\x{FE0E}\x{FE0F}\x{1F3FB}-\x{1F3FF}\x{E0020}-\x{E007F}\x{20E3}]*"
+# Keycaps first (so that the ASCII base goes with its cap), then sequences of
+# emoji glued by joiners; a joiner or selector alone is no emoji and stays.
 KEYCAP_PATTERN = r"[#*0-9]\x{FE0F}?\x{20E3}"
-EMOJI_PATTERN = (
-    KEYCAP_PATTERN
-    + r"|[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2300}-\x{23FF}\x{2B00}-\x{2BFF}"
-    r"\x{1F1E6}-\x{1F1FF}\x{E0020}-\x{E007F}\x{FE00}-\x{FE0F}\x{200D}\x{20E3}"
-    r"\x{00A9}\x{00AE}\x{203C}\x{2049}\x{2122}\x{2139}\x{2194}-\x{21AA}"
-    r"\x{24C2}\x{25AA}-\x{25FE}\x{2934}\x{2935}\x{3030}\x{303D}\x{3297}\x{3299}]"
-)
+EMOJI_PATTERN = KEYCAP_PATTERN + "|" + _EMOJI + _AFTER_EMOJI + r"(?:\x{200D}" + _EMOJI + _AFTER_EMOJI + ")*"
 NON_ASCII_PATTERN = r"[^\x{0}-\x{7F}]"
 # The only characters outside A-Z whose lower case contains an ASCII letter:
 # capital I with dot above (-> "i" + combining dot) and the Kelvin sign (-> "k").
@@ -123,7 +134,7 @@ def expand_contractions(c: Column) -> Column:
 
 
 def strip_emoji(c: Column) -> Column:
-    """remove emoji (keycaps, pictographs, flags, joiners) -> ''."""
+    """remove emoji and the joiners, selectors and tones inside them."""
     return F.regexp_replace(c, EMOJI_PATTERN, "")
 
 
@@ -171,8 +182,21 @@ def slugify(c: Column) -> Column:
 
 
 def percent_label(c: Column) -> Column:
-    """fraction -> 'xx.xx%' (two decimals, half-up like Python's %)."""
-    return F.format_string("%.2f%%", c * F.lit(100.0))
+    """fraction -> 'xx.xx%', rounded like Python's ``%.2f``: to the nearest
+    by the double's exact value, ties to even.
+
+    200 * y is kept as two exact products of halves of y's digits, so that the
+    sign of its distance to a tie (an odd number) is exact."""
+    y = F.abs(c.cast("double") * F.lit(100.0))
+    high = y.cast("float").cast("double")
+    low = y - high
+    base = F.floor(y * 100)
+    over = (high * 200 - (base * 2 + 1)) + low * 200  # sign of y's distance to the tie above base
+    under = (high * 200 - (base * 2 - 1)) + low * 200  # and to the tie below
+    n = base + F.when(over > 0, 1).when(over == 0, base % 2).when(under < 0, -1).when(under == 0, -(base % 2)).otherwise(0)
+    digits = F.concat((n / 100).cast("bigint").cast("string"), F.lit("."),
+                      F.lpad((n % 100).cast("string"), 2, "0"), F.lit("%"))
+    return F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), digits)
 
 
 def argmax(c: Column) -> Column:

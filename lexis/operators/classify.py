@@ -1,20 +1,19 @@
 """Classifier suite (C1-C10) on Spark ML, plus SAMME AdaBoost.
 
-Every estimator consumes a ``features`` vector column and a double
-``label`` column.  Trees, boosting and the perceptron get a narrower
-feature space (``narrow_vocab`` most frequent terms) because their cost
-grows with the width; linear models and Naive Bayes use all terms.
+Every estimator consumes a ``features`` vector column and a double ``label``
+column.  Linear models and Naive Bayes take the whole vocabulary; trees, boosting
+and the perceptron, whose cost grows with the width, take the same weights
+with every term folded into one of ``fold`` slots.
 
 Boosted presets stand in for the native gradient-boosting libraries:
-multi-class boosting is one-vs-rest over ``GBTClassifier``; the K binary
-models of a one-vs-rest estimator are trained concurrently (one Spark job
-stream per class).
+multi-class boosting is one-vs-rest over ``GBTClassifier``; at most PARALLEL
+binary models of a one-vs-rest estimator are trained at the same time.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,22 +25,23 @@ SUITE_ORDER = (
     "Support Vector Machine", "Naive Bayes", "Multilayer Perceptron",
     "LightGBM-style boosting", "XGBoost-style boosting",
 )
-NARROW = {"Random Forest", "Gradient Boosting", "AdaBoost", "Decision Tree",
+FOLDED = {"Random Forest", "Gradient Boosting", "AdaBoost", "Decision Tree",
           "Multilayer Perceptron", "LightGBM-style boosting", "XGBoost-style boosting"}
+PARALLEL = 4
 
 
 @dataclass
 class SuiteParams:
     seed: int = 42
     trees: int = 100
-    tree_depth: int = 20
-    boost_rounds: int = 20
+    tree_depth: int = 30  # Spark's own maximum
+    boost_rounds: int = 100
     ada_rounds: int = 50
-    svm_iter: int = 100
+    svm_iter: int = 1000
     svm_c: float = 1.0
     mlp_hidden: int = 100
-    mlp_iter: int = 200
-    extra: dict = field(default_factory=dict)
+    mlp_iter: int = 1000
+    fold: int = 2048
 
 
 def build_estimator(name: str, num_features: int, num_classes: int, p: SuiteParams,
@@ -60,20 +60,20 @@ def build_estimator(name: str, num_features: int, num_classes: int, p: SuitePara
         return DecisionTreeClassifier(maxDepth=min(p.tree_depth, 30), impurity="gini", seed=p.seed)
     if name == "Gradient Boosting":
         return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.1,
-                                                  maxDepth=3, seed=p.seed), parallelism=num_classes)
+                                                  maxDepth=3, seed=p.seed), parallelism=min(num_classes, PARALLEL))
     if name == "LightGBM-style boosting":
         return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.1,
-                                                  maxDepth=5, seed=p.seed), parallelism=num_classes)
+                                                  maxDepth=5, seed=p.seed), parallelism=min(num_classes, PARALLEL))
     if name == "XGBoost-style boosting":
         return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.3,
-                                                  maxDepth=6, seed=p.seed), parallelism=num_classes)
+                                                  maxDepth=6, seed=p.seed), parallelism=min(num_classes, PARALLEL))
     if name == "Support Vector Machine":
         reg = 1.0 / (p.svm_c * num_rows) if num_rows else 0.0
         # no feature standardisation, as in a plain SVC on TF-IDF (and it
         # converges several times faster on sparse, L2-normalised rows)
         return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, regParam=reg,
                                               standardization=False),
-                         parallelism=num_classes)
+                         parallelism=min(num_classes, PARALLEL))
     if name == "Naive Bayes":
         return NaiveBayes(smoothing=1.0, modelType="multinomial")
     if name == "Multilayer Perceptron":
@@ -89,6 +89,8 @@ def build_estimator(name: str, num_features: int, num_classes: int, p: SuitePara
 # ---------------------------------------------------------------------------
 
 class AdaBoostModel:
+    """Fitted stumps with their stage weights, in order of the rounds."""
+
     def __init__(self, stumps, alphas, num_classes):
         self.stumps, self.alphas, self.num_classes = stumps, alphas, num_classes
 
@@ -111,16 +113,33 @@ class AdaBoostModel:
         out = cur.withColumn(out_col, argmax(votes).cast("double"))
         return out.drop(*[f"_p{i}" for i in range(len(self.stumps))])
 
+    def save(self, path: str, spark) -> None:
+        """Each stump in a folder of its own; round, stage weight and number
+        of classes in one table."""
+        for i, stump in enumerate(self.stumps):
+            stump.write().overwrite().save(f"{path}/stump_{i:03d}")
+        rows = [(i, float(a), self.num_classes) for i, a in enumerate(self.alphas)]
+        spark.createDataFrame(rows, "round int, alpha double, classes int").write.mode("overwrite").parquet(f"{path}/rounds")
+
+    @classmethod
+    def load(cls, path: str, spark) -> "AdaBoostModel":
+        from pyspark.ml.classification import DecisionTreeClassificationModel
+
+        rows = spark.read.parquet(f"{path}/rounds").orderBy("round").collect()
+        stumps = [DecisionTreeClassificationModel.load(f"{path}/stump_{r['round']:03d}") for r in rows]
+        return cls(stumps, [r["alpha"] for r in rows], rows[0]["classes"])
+
 
 class AdaBoost:
     """SAMME: stump on weighted rows; err = weighted error;
     alpha = lr * (ln((1-err)/err) + ln(K-1)); misclassified rows' weights
     grow by exp(alpha), weights renormalised; stop when err = 0 (the stump
-    is perfect and gets weight 1) or err >= 1 - 1/K.  Each round's weights
-    are checkpointed to the shared checkpoint folder, which cuts the
-    growing lineage and survives executor loss (a reliable checkpoint, not
-    ``localCheckpoint``).  One aggregate per round gives both the error and
-    the next normalising total."""
+    is perfect and gets weight 1) or err >= 1 - 1/K.
+
+    The features are written once, dealt out by row id; a round writes the
+    narrow (id, weight) table only, dealt out alike, so that joining the two
+    moves nothing.  Both are reliable checkpoints in the shared folder.  One
+    aggregate per round gives the error and the next normalising total."""
 
     def __init__(self, rounds: int = 50, learning_rate: float = 1.0, seed: int = 42,
                  num_classes: int = 2):
@@ -130,14 +149,17 @@ class AdaBoost:
         from pyspark.ml.classification import DecisionTreeClassifier
 
         k = self.k
-        n = df.count()
-        cur = cut_lineage(df.select("features", "label").withColumn("_w", F.lit(1.0 / n)))
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        base = cut_lineage(df.select("features", "label").withColumn("_row", F.monotonically_increasing_id())
+                           .repartition(parts, "_row"))
+        n = base.count()
+        cur = base.withColumn("_w", F.lit(1.0 / n))
         stumps, alphas = [], []
         for r in range(self.rounds):
             stump = DecisionTreeClassifier(maxDepth=1, weightCol="_w", seed=self.seed + r,
                                            predictionCol="_pred", rawPredictionCol="_rawp",
                                            probabilityCol="_probp").fit(cur)
-            pred = stump.transform(cur).withColumn("_wrong", (F.col("_pred") != F.col("label")))
+            pred = stump.transform(cur).withColumn("_wrong", F.col("_pred") != F.col("label"))
             agg = pred.agg(F.sum(F.when(F.col("_wrong"), F.col("_w")).otherwise(0.0)).alias("e"),
                            F.sum("_w").alias("t")).first()
             err = (agg["e"] or 0.0) / agg["t"]
@@ -153,13 +175,11 @@ class AdaBoost:
             alpha = self.lr * (math.log((1.0 - err) / err) + math.log(k - 1))
             stumps.append(stump)
             alphas.append(alpha)
-            nxt = pred.withColumn("_w", F.when(F.col("_wrong"), F.col("_w") * F.lit(math.exp(alpha)))
-                                  .otherwise(F.col("_w")))
-            # new weight total from the error pass (no extra scan):
-            # correct rows keep t - e, wrong rows grow to e * exp(alpha)
+            # correct rows keep t - e of the total, wrong rows grow to e * exp(alpha)
             total = agg["t"] + (agg["e"] or 0.0) * (math.exp(alpha) - 1.0)
-            cur = cut_lineage(nxt.select("features", "label",
-                                         (F.col("_w") / F.lit(total)).alias("_w")))
+            grown = F.when(F.col("_wrong"), F.col("_w") * F.lit(math.exp(alpha))).otherwise(F.col("_w"))
+            weights = cut_lineage(pred.select("_row", (grown / F.lit(total)).alias("_w")))
+            cur = base.join(weights, "_row")
         return AdaBoostModel(stumps, alphas, k)
 
 

@@ -19,44 +19,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions.text import argmax
-from lexis.operators.rows import join_lookup
+from lexis.session import cut_lineage
 
 
 @dataclass
 class NaiveBayesModel:
-    class_terms: DataFrame  # (label_id, term, g) with g = ln(fc + a) - ln a
+    class_terms: DataFrame  # (_class, term, g) with g = ln(fc + a) - ln a
     prior: list
     log_norm: list  # ln(S[c] + a V) - ln a
     alpha: float
 
 
-def fit(weights: DataFrame, labels: DataFrame, id_col: str, n_terms: int, *,
-        label_col: str = "label_id", alpha: float = 1.0, num_classes: int | None = None) -> NaiveBayesModel:
-    """``weights`` (id, term, weight) of training docs, ``labels`` (id,
-    label) of the same docs (docs without terms count in the prior)."""
+def class_sums(weights: DataFrame, label_col: str = "label_id") -> DataFrame:
+    """(label, term, fc) of training weights, materialised: every smoothing
+    value and the class totals read it."""
+    return cut_lineage(weights.groupBy(label_col, "term").agg(F.sum("weight").alias("fc")))
+
+
+def fit(fc: DataFrame, docs: DataFrame, n_terms: int, *, label_col: str = "label_id",
+        alpha: float = 1.0, num_classes: int | None = None) -> NaiveBayesModel:
+    """``fc`` from ``class_sums``; ``docs`` holds the label of every training
+    document (those without terms count in the prior)."""
     if alpha <= 0:
         raise ValueError("alpha must be > 0")
-    lab = labels.select(F.col(id_col), F.col(label_col).cast("int").alias("_c"))
-    fc = weights.join(lab, id_col).groupBy("_c", "term").agg(F.sum("weight").alias("fc"))
-    counts = {r[0]: r[1] for r in lab.groupBy("_c").count().collect()}
-    sums = {r[0]: r[1] for r in fc.groupBy("_c").agg(F.sum("fc")).collect()}
+    counts = {r[0]: r[1] for r in docs.groupBy(label_col).count().collect()}
+    sums = {r[0]: r[1] for r in fc.groupBy(label_col).agg(F.sum("fc")).collect()}
     k = num_classes or (max(counts) + 1)
     n = sum(counts.values())
     prior = [math.log(counts[c] / n) if counts.get(c) else float("-inf") for c in range(k)]
     log_norm = [math.log(sums.get(c, 0.0) + alpha * n_terms) - math.log(alpha) for c in range(k)]
     g = F.log(F.col("fc") + F.lit(alpha)) - F.lit(math.log(alpha))
-    class_terms = fc.select(F.col("_c").alias(label_col), "term", g.alias("g"))
-    return NaiveBayesModel(class_terms, prior, log_norm, alpha)
+    return NaiveBayesModel(fc.select(F.col(label_col).alias("_class"), "term", g.alias("g")), prior, log_norm, alpha)
 
 
 def predict(model: NaiveBayesModel, weights: DataFrame, docs: DataFrame, id_col: str,
-            label_col: str = "label_id", out_col: str = "prediction") -> DataFrame:
+            out_col: str = "prediction") -> DataFrame:
     """Add ``out_col`` (argmax class code) to ``docs`` (one row per doc to
     score); ``weights`` holds those docs' (id, term, weight)."""
-    ct = model.class_terms
-    part = (join_lookup(weights, ct, "term", "inner")
-            .groupBy(id_col, label_col).agg(F.sum(F.col("weight") * F.col("g")).alias("p"))
-            .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct(label_col, "p"))).alias("_pm")))
+    part = (weights.select(id_col, "term", "weight").join(model.class_terms, "term")
+            .groupBy(id_col, "_class").agg(F.sum(F.col("weight") * F.col("g")).alias("p"))
+            .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("_class", "p"))).alias("_pm")))
     total = weights.groupBy(id_col).agg(F.sum("weight").alias("_W"))
     scored = docs.join(total, id_col, "left").join(part, id_col, "left")
     prior = F.array(*[F.lit(x) for x in model.prior])

@@ -1,5 +1,5 @@
 """Row-level operators: dedup (W1), dense renumbering (W2), label encoding
-(W3, J6) and size-checked broadcast joins.
+(W3, J6).
 
 Scale notes
 -----------
@@ -9,7 +9,8 @@ Scale notes
   are then kept with a semi join on the (unique) order key.
 * ``dense_index`` never uses a global ``row_number()`` (one task): it range
   partitions, counts rows per partition and adds per-partition offsets.
-* Label dimensions are bounded by ``max_classes`` and only then broadcast.
+* Lookups are plain joins: Spark broadcasts a side by its measured size, and
+  splits hot keys of the others.
 """
 
 from __future__ import annotations
@@ -17,10 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_CLASSES = 10_000
-# Lookup tables up to this many rows are broadcast (a few tens of MB of
-# short strings); bigger ones take a shuffle join, where AQE splits hot keys.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 # 33 low bits of monotonically_increasing_id() hold the in-partition row number.
 _LOW_BITS = (1 << 33) - 1
 
@@ -29,7 +26,7 @@ def require_columns(df: DataFrame, *names: str) -> None:
     """S3: raise KeyError listing the missing columns, sorted (no job)."""
     missing = sorted(set(names) - set(df.columns))
     if missing:
-        raise KeyError(f"Columns not found in dataframe: {missing}")
+        raise KeyError(f"no such columns: {missing}")
 
 
 def text_digest(c: Column) -> Column:
@@ -87,19 +84,14 @@ def dense_index(df: DataFrame, order_cols: list, name: str = "row_id",
     return out.drop("_pid", "_pos", "_off")
 
 
-def label_dimension(df: DataFrame, label_col: str, id_col: str = "label_id",
-                    max_classes: int = DEFAULT_MAX_CLASSES) -> tuple[DataFrame, list]:
+def label_dimension(df: DataFrame, label_col: str, id_col: str = "label_id") -> tuple[DataFrame, list]:
     """Sorted distinct labels with their codes 0..K-1 (alphabetical,
     like a label encoder).  Returns ``(dimension DataFrame, labels)``.
 
-    The distinct labels are few by construction; their number is checked
-    before they are collected or broadcast."""
+    The classes of a classifier are its output and reach the driver with any
+    model; Spark decides by their size whether the join broadcasts them."""
     require_columns(df, label_col)
-    distinct = df.select(label_col).distinct()
-    rows = distinct.limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} distinct labels in {label_col!r}")
-    values = [r[0] for r in rows]
+    values = [r[0] for r in df.select(label_col).distinct().collect()]
     if any(v is None for v in values):
         raise ValueError(f"label column {label_col!r} contains nulls")
     labels = sorted(values)
@@ -112,12 +104,11 @@ def label_dimension(df: DataFrame, label_col: str, id_col: str = "label_id",
     return dim, labels
 
 
-def encode_labels(df: DataFrame, label_col: str, id_col: str = "label_id",
-                  max_classes: int = DEFAULT_MAX_CLASSES) -> tuple[DataFrame, list]:
+def encode_labels(df: DataFrame, label_col: str, id_col: str = "label_id") -> tuple[DataFrame, list]:
     """W3 + J6: add the integer code of ``label_col``; returns the frame and
     the class names ordered by code."""
-    dim, labels = label_dimension(df, label_col, id_col, max_classes)
-    return df.join(F.broadcast(dim), on=label_col, how="left"), labels
+    dim, labels = label_dimension(df, label_col, id_col)
+    return df.join(dim, on=label_col, how="left"), labels
 
 
 def decode_labels(df: DataFrame, labels: list, id_col: str = "prediction",
@@ -128,30 +119,4 @@ def decode_labels(df: DataFrame, labels: list, id_col: str = "prediction",
     dim = spark.createDataFrame(
         [(i, v) for i, v in enumerate(labels)], f"`_code` int, `{out_col}` string"
     )
-    return df.join(F.broadcast(dim), F.col(id_col).cast("int") == F.col("_code"), "left").drop("_code")
-
-
-def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join a lookup table whose size is data-dependent (a vocabulary, a
-    lexicon): broadcast it only after counting that it has at most
-    ``max_broadcast_rows`` rows, otherwise shuffle-join on the key and let
-    AQE's skew-join split hot keys.  Callers checkpoint ``small`` first when
-    it is expensive, so the count does not recompute it."""
-    n = small.limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
-
-
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition a scan by ``key`` when it has fewer partitions than
-    the cluster has cores (e.g. one big single-row-group file), so that
-    CPU-heavy text expressions run in parallel and later per-key
-    aggregations/windows find the data already clustered by ``key``.  A
-    no-op for inputs with enough splits, i.e. at scale."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.join(dim, F.col(id_col).cast("int") == F.col("_code"), "left").drop("_code")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions.text import whitespace_tokens
-from lexis.operators.rows import dense_index, join_lookup, require_columns
+from lexis.operators.rows import dense_index, require_columns
 from lexis.session import cut_lineage
 
 BEGIN, PAD, END, UNKNOWN, FIRST_WORD = 0, 1, 2, 3, 4
@@ -48,7 +48,7 @@ def encode_sequences(df: DataFrame, text_col: str, id_col: str, vocab: DataFrame
         raise ValueError("max_length must be >= 2")
     body = max_length - 2
     toks = positioned_tokens(df, text_col, id_col).where(F.col("pos") < body)
-    ids = join_lookup(toks, vocab, "token", "left").select(
+    ids = toks.join(vocab, "token", "left").select(
         id_col, "pos", F.coalesce(F.col("token_id"), F.lit(UNKNOWN)).alias("wid"))
     grouped = ids.groupBy(id_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "wid"))), lambda x: x["wid"])
@@ -103,7 +103,3 @@ def centroid_scorer(df: DataFrame, vec_col: str, label_col: str, num_classes: in
         return predict
 
     return make_predict_fn, dims
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    return cut_lineage(df)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexis.operators.rows import DEFAULT_MAX_CLASSES, require_columns
+from lexis.operators.rows import require_columns
 from lexis.session import cut_lineage
 
 BUCKET_DIGITS = 5
@@ -47,14 +47,12 @@ def train_quotas(counts: dict, test_size: float) -> dict:
         raise ValueError("cannot split an empty frame")
     small = [k for k, c in counts.items() if c < 2]
     if small:
-        raise ValueError("The least populated class has only 1 member, which is too few. "
-                         f"Classes: {sorted(small)}")
+        raise ValueError(f"classes of a single row can't be split: {sorted(small)}")
     n_test = math.ceil(float(test_size) * n)
     n_train = n - n_test
     k = len(counts)
     if n_test < k or n_train < k:
-        raise ValueError(f"test ({n_test}) and train ({n_train}) sizes must be >= the "
-                         f"number of classes ({k})")
+        raise ValueError(f"{k} classes need at least {k} rows on each side, got {n_train} and {n_test}")
     classes = sorted(counts)
     floors = {c: (counts[c] * n_train) // n for c in classes}
     rema = {c: (counts[c] * n_train) % n for c in classes}
@@ -66,7 +64,7 @@ def train_quotas(counts: dict, test_size: float) -> dict:
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str, *, test_size: float = 0.25,
                      seed=42, salt: str = "", split_col: str = "split",
-                     names=("train", "test"), max_classes: int = DEFAULT_MAX_CLASSES) -> DataFrame:
+                     names=("train", "test")) -> DataFrame:
     """K1: add ``split_col`` = names[0] (train) or names[1] (test).
 
     Passes over ``df``: one aggregate (bucket counts, from which the class
@@ -79,10 +77,7 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, *, test_size: f
         .withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
     # (class, bucket) counts: at most K * 16^5 rows, combined map-side
     buckets = cut_lineage(keyed.groupBy(label_col, "_bucket").agg(F.count(F.lit(1)).alias("_cnt")))
-    counts_rows = buckets.groupBy(label_col).agg(F.sum("_cnt").alias("n")) \
-        .limit(max_classes + 1).collect()
-    if len(counts_rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {label_col!r}")
+    counts_rows = buckets.groupBy(label_col).agg(F.sum("_cnt").alias("n")).collect()
     counts = {r[0]: r[1] for r in counts_rows}
     if None in counts:
         raise ValueError(f"label column {label_col!r} contains nulls")

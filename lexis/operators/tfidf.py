@@ -6,22 +6,21 @@ band -> ``idf = ln((1+n)/(1+df)) + 1`` -> ``w = tf*idf / ||tf*idf||_2``.
 A document without any vocabulary term has no rows (a zero vector).
 
 Plan shape: one shuffle for term frequencies (map-side combined), one for
-document frequencies (hot terms collapse map-side), a size-checked
-broadcast (else shuffle) join with the vocabulary, and one shuffle by
-document for the L2 norm window; a document's terms are bounded by its
-length.
+document frequencies (hot terms collapse map-side), a join with the vocabulary
+(broadcast if Spark measures it small, else by shuffle with hot terms split), and
+one shuffle by document for the L2 norm window; a document's terms are bounded by
+its length.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.functions.text import WORD
-from lexis.operators.rows import dense_index, join_lookup, require_columns
+from lexis.operators.rows import dense_index, require_columns
 from lexis.session import cut_lineage
 
 # Vectoriser token rule: maximal runs of at least two word characters.
@@ -36,20 +35,21 @@ def _check_band(min_df, max_df):
             raise ValueError(f"{name} as a fraction must be <= 1.0, got {v!r}")
 
 
-def terms(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """Lower-cased word tokens of at least two characters, long form
-    ``(id, term)``."""
-    require_columns(df, text_col, id_col)
-    return df.select(
-        F.col(id_col),
-        F.explode(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))),
-                                       F.lit(TERM_PATTERN), 0)).alias("term"),
-    )
+def terms_column(text_col: str) -> Column:
+    """Lower-cased word tokens of at least two characters."""
+    return F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(TERM_PATTERN), 0)
 
 
-def term_frequency(term_rows: DataFrame, id_col: str) -> DataFrame:
-    """A10: ``(id, term, tf)``."""
-    return term_rows.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+def terms(df: DataFrame, text_col: str, id_col: str, keep=()) -> DataFrame:
+    """T1 in long form ``(id, keep..., term)``; ``keep`` columns (a split, a
+    label) travel with the rows, so that nothing is joined back later."""
+    require_columns(df, text_col, id_col, *keep)
+    return df.select(id_col, *keep, F.explode(terms_column(text_col)).alias("term"))
+
+
+def term_frequency(term_rows: DataFrame, id_col: str, keep=()) -> DataFrame:
+    """A10: ``(id, keep..., term, tf)``."""
+    return term_rows.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def fit(tf: DataFrame, n_docs: int, *, min_df=2e-5, max_df=0.70,
     lo = min_df if isinstance(min_df, int) else min_df * n_docs
     hi = max_df if isinstance(max_df, int) else max_df * n_docs
     if hi < lo:
-        raise ValueError("max_df corresponds to < documents than min_df")
+        raise ValueError(f"empty document-frequency band: {lo} to {hi}")
     dfreq = document_frequency(tf)
     vocab = dfreq.where((F.col("df") >= F.lit(float(lo))) & (F.col("df") <= F.lit(float(hi))))
     idf = (F.log(F.lit(float(1 + n_docs)) / (F.col("df") + F.lit(1.0))) + F.lit(1.0)) if use_idf \
@@ -92,19 +92,19 @@ def fit(tf: DataFrame, n_docs: int, *, min_df=2e-5, max_df=0.70,
     # materialise it once instead of re-aggregating the corpus each time
     vocab = cut_lineage(vocab)
     if vocab.limit(1).count() == 0:
-        raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
+        raise ValueError(f"no term is in {lo} to {hi} of {n_docs} documents")
     return TfidfModel(vocab=vocab, n_docs=n_docs, use_idf=use_idf)
 
 
-def transform(tf: DataFrame, model: TfidfModel, id_col: str) -> DataFrame:
+def transform(tf: DataFrame, model: TfidfModel, id_col: str, keep=(), index: bool = False) -> DataFrame:
     """T4/T5 (+ J5): weights of ``tf`` under a fitted vocabulary; terms not
     in the vocabulary are dropped; L2-normalised per document.
-    Returns ``(id, term, weight)``."""
-    v = model.vocab.select("term", "idf")
-    j = join_lookup(tf, v, "term", "inner")
+    Returns ``(id, keep..., term, weight)``, with ``term_index`` on request."""
+    more = ["term_index"] if index else []
+    j = tf.join(model.vocab.select("term", "idf", *more), "term")
     raw = F.col("tf").cast("double") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy(id_col)))
-    return j.select(F.col(id_col), "term", (raw / norm).alias("weight"))
+    return j.select(id_col, *keep, "term", *more, (raw / norm).alias("weight"))
 
 
 def fit_transform(df: DataFrame, text_col: str, id_col: str, **kw):
@@ -117,71 +117,31 @@ def fit_transform(df: DataFrame, text_col: str, id_col: str, **kw):
 
 
 # ---------------------------------------------------------------------------
-# The same weights as Spark ML sparse vectors
+# The same weights as sparse vectors
 # ---------------------------------------------------------------------------
 
-def vector_stages(tokens_col: str = "terms", out_col: str = "features", *,
-                  min_df=2e-5, max_df=0.70, vocab_size: int = 1 << 18):
-    """Spark ML stages for TF-IDF vectors: CountVectorizer -> IDF ->
-    (+1 to the idf, as the smoothed formula) -> L2 Normalizer.
+def sparse_rows(weights: DataFrame, id_col: str, keep=()) -> DataFrame:
+    """(id, keep..., indices, weights): a row's terms in order of their index.
+    The vocabulary stays a table; nothing limits its size."""
+    rows = weights.groupBy(id_col, *keep).agg(F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("_t"))
+    return rows.select(id_col, *keep, F.col("_t.term_index").alias("indices"), F.col("_t.weight").alias("weights"))
 
-    Differences to mind: CountVectorizer treats ``minDF/maxDF >= 1`` as
-    counts, so a fractional ``max_df`` of 1.0 means "no limit"; and
-    ``vocab_size`` keeps the most frequent terms (default 2^18)."""
-    from pyspark.ml.feature import IDF, CountVectorizer
 
-    _check_band(min_df, max_df)
-    cv_max = float(max_df) if isinstance(max_df, int) else (
-        float(2 ** 63 - 1) if max_df >= 1.0 else float(max_df))
-    cv_min = float(min_df)
-    if isinstance(min_df, float) and min_df >= 1.0:
-        cv_min = 0.0 if min_df == 1.0 else cv_min
-    cv = CountVectorizer(inputCol=tokens_col, outputCol=f"_{out_col}_tf", minDF=cv_min,
-                         maxDF=cv_max, vocabSize=vocab_size)
-    idf = IDF(inputCol=f"_{out_col}_tf", outputCol=f"_{out_col}_idf", minDocFreq=0)
-    return cv, idf, out_col
-
-
-def narrow_vectors(model, k: int, out_col: str):
-    """The same weighting restricted to the ``k`` most frequent terms of a
-    model from ``fit_vectors`` (no second pass over the data): the first
-    ``k`` vocabulary entries, their idf factors, L2 normalisation."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-    from pyspark.ml.linalg import Vectors
-
-    cv, scale, _ = model.stages
-    vocab = cv.vocabulary[:k]
-    tokens_col = cv.getInputCol()
-    sub = CountVectorizerModel.from_vocabulary(vocab, inputCol=tokens_col,
-                                               outputCol=f"_{out_col}_tf")
-    weights = Vectors.dense(scale.getScalingVec().toArray()[:len(vocab)])
-    return PipelineModel(stages=[
-        sub,
-        ElementwiseProduct(inputCol=f"_{out_col}_tf", outputCol=f"_{out_col}_scaled", scalingVec=weights),
-        Normalizer(inputCol=f"_{out_col}_scaled", outputCol=out_col, p=2.0),
-    ])
-
-
-def fit_vectors(df: DataFrame, tokens_col: str = "terms", out_col: str = "features", **kw):
-    """Fit the vector stages; returns a PipelineModel whose transform adds
-    ``out_col`` (sparse, L2-normalised tf*(ln((1+n)/(1+df))+1))."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import ElementwiseProduct, Normalizer
-    from pyspark.ml.linalg import Vectors
-
-    cv, idf, out_col = vector_stages(tokens_col, out_col, **kw)
-    counts = Pipeline(stages=[cv, idf]).fit(df)
-    cv_model, idf_model = counts.stages
-    # idf vector has one entry per vocabulary term (bounded by vocab_size)
-    weights = Vectors.dense([x + 1.0 for x in idf_model.idf.toArray()])
-    scale = ElementwiseProduct(inputCol=f"_{out_col}_tf", outputCol=f"_{out_col}_scaled",
-                               scalingVec=weights)
-    norm = Normalizer(inputCol=f"_{out_col}_scaled", outputCol=out_col, p=2.0)
-    from pyspark.ml import PipelineModel
-
-    return PipelineModel(stages=[cv_model, scale, norm])
-
-
-def idf_value(n_docs: int, df: int) -> float:
-    return math.log((1 + n_docs) / (1 + df)) + 1.0
+def vectors(rows: DataFrame, width: int, fold: int | None = None, out_col: str = "features") -> DataFrame:
+    """ML vectors of sparse rows: of full ``width``, or with every term folded
+    into one of ``fold`` slots (index modulo fold) for models whose cost grows
+    with the width.  Folding adds weights up; no term is left out."""
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    size = min(fold, width) if fold else width
+
+    @F.udf(VectorUDT())
+    def build(indices, weights):
+        if not fold or fold >= width:
+            return Vectors.sparse(size, indices or [], weights or [])
+        slots: dict = {}
+        for i, w in zip(indices or [], weights or []):
+            slots[i % size] = slots.get(i % size, 0.0) + w
+        return Vectors.sparse(size, slots)
+
+    return rows.withColumn(out_col, build("indices", "weights")).drop("indices", "weights")

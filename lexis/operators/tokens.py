@@ -1,21 +1,23 @@
-"""Token-level normalisation on a long token table.
+"""Token-level normalisation.
 
-Documents become rows ``(id, pos, token)``; filters are ``where`` clauses,
-stop words a broadcast anti join against a bounded list, and lemmas/stems
-are computed once per *distinct* token and joined back, so Python work and
-lookups grow with the vocabulary rather than with the corpus.
+As rows, documents become ``(id, pos, token)``; as a column, an array of tokens
+that is filtered and stemmed inside its row.  Only lemmas need a lookup in a
+vocabulary, and only tokens that a rule could shorten take part in it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexis.functions.stem import stem_column
+from lexis.functions.stem import stem_tokens
 from lexis.functions.stopwords import EXTRA_STOPWORDS, STANDARD_STOPWORDS
 from lexis.functions.text import MULTISPACE_PATTERN, normalize_prefix
-from lexis.operators.rows import join_lookup, require_columns
-from lexis.session import cut_lineage
+from lexis.operators.rows import require_columns
+from lexis.session import cut_lineage, written
 
 # Fixed values.
 # Noun suffix-detachment rules (WordNet morphology), in rule order.
@@ -75,7 +77,7 @@ def lemma_rules(vocab: DataFrame, lexicon: DataFrame | None = None,
                               F.when(t.endswith(suf), stemmed).alias("cand")))
     exploded = vocab.select("token", F.explode(F.array(*cands)).alias("c")).select(
         "token", "c.rule", "c.cand").where(F.col("cand").isNotNull())
-    found = join_lookup(exploded, lex.withColumnRenamed("_word", "cand"), "cand", "inner")
+    found = exploded.join(lex.withColumnRenamed("_word", "cand"), "cand")
     best = found.groupBy("token").agg(
         F.min(F.struct(F.length("cand").alias("n"), F.col("rule"), F.col("cand"))).alias("b"))
     return vocab.join(best, "token", "left").select(
@@ -86,56 +88,41 @@ def apply_lookup(tokens: DataFrame, table: DataFrame, key: str = "token",
                  value: str = "lemma") -> DataFrame:
     """Replace each token by its looked-up value, identity on a miss."""
     m = table.select(F.col(key).alias("token"), F.col(value).alias("_v"))
-    joined = join_lookup(tokens, m, "token", "left")
+    joined = tokens.join(m, "token", "left")
     return joined.withColumn("token", F.coalesce(F.col("_v"), F.col("token"))).drop("_v")
 
 
-def normalize_tokens(df: DataFrame, text_col: str, id_col: str, *,
-                     remove_stop: bool = True, lemmatize: bool = True,
-                     stem: bool = True, min_token_length: int = 2,
-                     stopwords=None, lemma_table: DataFrame | None = None,
-                     lexicon: DataFrame | None = None, language: str = "english") -> DataFrame:
-    """F15 in long form: lower -> contractions -> emoji -> ASCII -> letters ->
-    tokens -> min length -> stop words -> lemma -> stem -> stop words and
-    empties again.  Returns ``(id, pos, token)``.
-
-    Lemma and stem are computed on the distinct surviving tokens (one
-    pandas-UDF call per distinct token) and joined back."""
-    prepared = df.select(F.col(id_col), normalize_prefix(F.col(text_col), runs=True).alias("_t"))
-    toks = min_length(tokenize(prepared, "_t", id_col), min_token_length)
-    words = stopword_list() if stopwords is None else stopwords
-    if remove_stop:
-        toks = remove_stopwords(toks, words)
-    if lemmatize or stem:
-        vocab = cut_lineage(toks.select("token").distinct())
-        if stem:
-            # the stemmer is CPU-bound Python: spread the (byte-wise small)
-            # vocabulary by row count, not by size, so that it is not
-            # coalesced into a handful of tasks
-            vocab = vocab.repartition(udf_partitions(vocab))
-        if lemmatize:
-            mapping = (lemma_table.select(F.col(lemma_table.columns[0]).alias("token"),
-                                          F.col(lemma_table.columns[1]).alias("lemma"))
-                       if lemma_table is not None else lemma_rules(vocab, lexicon))
-            mapping = vocab.join(mapping, "token", "left").select(
-                "token", F.coalesce("lemma", "token").alias("norm"))
-        else:
-            mapping = vocab.select("token", F.col("token").alias("norm"))
-        if stem:
-            mapping = mapping.withColumn("norm", stem_column(F.col("norm"), language))
-        toks = apply_lookup(toks, cut_lineage(mapping), "token", "norm")
-        if remove_stop:
-            toks = remove_stopwords(toks, words)
-    return toks.where(F.col("token") != "")
-
-
-def udf_partitions(df: DataFrame, rows_per_task: int = 20_000) -> int:
-    """Partitions for a Python-UDF stage: about ``rows_per_task`` rows each,
-    at least one per core."""
-    import math
-
-    n = df.count()
-    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / rows_per_task))
+def token_array(c: Column, *, remove_stop: bool = True, min_token_length: int = 2, stopwords=None) -> Column:
+    """The prepared tokens of a text: lower -> contractions -> emoji -> ASCII ->
+    letters -> tokens -> min length -> stop words."""
+    toks = F.split(normalize_prefix(c, runs=True), MULTISPACE_PATTERN)
+    toks = F.filter(toks, lambda t: F.length(t) >= max(1, min_token_length))
+    return without_stopwords(toks, stopwords) if remove_stop else toks
+
+
+def without_stopwords(toks: Column, stopwords=None) -> Column:
+    words = stopword_list() if stopwords is None else sorted(set(stopwords))
+    return F.filter(toks, lambda t: ~t.isin(words)) if words else toks
+
+
+def fit_lexicon(df: DataFrame, text_col: str, **options) -> DataFrame:
+    """The words lemmas are looked up in: distinct prepared tokens of ``df``,
+    kept with a model so that every later text is normalised alike."""
+    return cut_lineage(df.select(F.explode(token_array(F.col(text_col), **options)).alias("token")).distinct())
+
+
+def _lemma_maps(rows: DataFrame, id_col: str, lemma_table: DataFrame | None, lexicon: DataFrame | None) -> DataFrame:
+    """(id, _lemmas): per row the map of its tokens that have another lemma.
+    Only tokens that a rule could shorten leave their rows."""
+    words = F.array_distinct("_tokens")
+    if lemma_table is None:
+        words = F.filter(words, lambda t: reduce(or_, [t.endswith(suffix) for suffix, _ in NOUN_RULES]))
+    wanted = rows.select(id_col, F.explode(words).alias("token"))
+    if lemma_table is None:
+        lemma_table = lemma_rules(wanted, rows.select(F.explode("_tokens").alias("token")) if lexicon is None else lexicon)
+    lemma_table = lemma_table.toDF("token", "lemma").where("lemma <> token")
+    return wanted.join(lemma_table, "token").groupBy(id_col).agg(
+        F.map_from_entries(F.collect_set(F.struct("token", "lemma"))).alias("_lemmas"))
 
 
 def join_tokens(tokens: DataFrame, df: DataFrame, id_col: str, out_col: str) -> DataFrame:
@@ -149,7 +136,29 @@ def join_tokens(tokens: DataFrame, df: DataFrame, id_col: str, out_col: str) ->
         out_col, F.coalesce(F.col("_joined"), F.lit(""))).drop("_joined")
 
 
-def normalize_text(df: DataFrame, text_col: str, id_col: str, **kw) -> DataFrame:
-    """Replace ``text_col`` by its fully normalised form."""
-    toks = normalize_tokens(df, text_col, id_col, **kw)
-    return join_tokens(toks, df.drop(text_col), id_col, text_col)
+def normalize_text(df: DataFrame, text_col: str, id_col: str, *,
+                   remove_stop: bool = True, lemmatize: bool = True,
+                   stem: bool = True, min_token_length: int = 2,
+                   stopwords=None, lemma_table: DataFrame | None = None,
+                   lexicon: DataFrame | None = None, language: str = "english") -> DataFrame:
+    """Replace ``text_col`` by its normalised form: prepared tokens ->
+    lemma -> stem -> stop words and empties again -> joined by spaces.
+
+    Everything but the lemma is a column expression inside the row.  Lemmas come
+    from ``lemma_table`` (token, lemma), or from the noun rules over ``lexicon``
+    (see ``fit_lexicon``; by default the words of ``df`` itself)."""
+    require_columns(df, text_col, id_col)
+    options = {"remove_stop": remove_stop, "min_token_length": min_token_length, "stopwords": stopwords}
+    toks = F.col("_tokens")
+    rows = df.withColumn("_tokens", token_array(F.col(text_col), **options)).drop(text_col)
+    if lemmatize:
+        rows = written(rows, "tokens")  # read for its words and for the result
+        rows = rows.join(_lemma_maps(rows, id_col, lemma_table, lexicon), id_col, "left")
+        lemma = F.transform("_tokens", lambda t: F.coalesce(F.try_element_at("_lemmas", t), t))
+        rows = rows.withColumn("_tokens", F.when(F.col("_lemmas").isNull(), toks).otherwise(lemma)).drop("_lemmas")
+    if stem:
+        rows = rows.withColumn("_tokens", stem_tokens(toks, language))
+    if remove_stop and (lemmatize or stem):
+        rows = rows.withColumn("_tokens", without_stopwords(toks, stopwords))
+    joined = F.array_join(F.filter("_tokens", lambda t: t != ""), " ")
+    return rows.withColumn(text_col, joined).select(df.columns)

@@ -9,8 +9,14 @@ from lexis.plans.registry import ORACLES, QUERIES
 __all__ = ["ORACLES", "QUERIES", "flagship"]
 
 
+FLAGSHIP_MODELS = ("Naive Bayes", "Decision Tree")
+
+
 def flagship(spark, sf_dir):
-    """Minimum end-to-end slice: documents -> stage-1 clean -> exact
-    stratified split -> TF-IDF fitted on train -> relational Naive Bayes ->
-    test predictions (doc_id, label_id, prediction)."""
-    return QUERIES["clf_naive_bayes_sql"](spark, sf_dir)
+    """The classical pipeline (M1) on ``documents`` labelled by ``lang``: dedup
+    -> clean -> normalise -> stratified split -> TF-IDF fitted on train -> two
+    models of the suite, ranked by test accuracy.  ``pipeline_ml`` runs all."""
+    from lexis.plans import pipeline
+    from lexis.plans.registry import table
+
+    return pipeline.run_pipeline(table(spark, sf_dir, "documents"), "text", "lang", "doc_id", names=FLAGSHIP_MODELS)

@@ -156,13 +156,19 @@ HOLDOUT_TF_SQL = (f"SELECT tf.* FROM ({TF_SQL}) tf JOIN ({SPLIT_TEXT_SQL}) s USI
                   f"WHERE s.split = 'test'")
 
 
-def _split_tf(spark, sf_dir):
+def split_documents(spark, sf_dir, label_ids: bool = False):
+    """Cleaned documents with their split (and label code), materialised, and
+    the class names."""
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", T.clean_text(F.col("text")).alias("text"))
-    s = SP.stratified_split(d, "lang", "doc_id", test_size=TEST_SIZE, seed=SEED)
-    s = cut_lineage(s)
-    tf = TF.term_frequency(TF.terms(s, "text", "doc_id"), "doc_id")
-    tf = cut_lineage(tf.join(s.select("doc_id", "split"), "doc_id"))
-    return s, tf
+    d = cut_lineage(d)
+    labels = []
+    if label_ids:
+        d, labels = encode_labels(d, "lang")
+    return cut_lineage(SP.stratified_split(d, "lang", "doc_id", test_size=TEST_SIZE, seed=SEED)), labels
+
+
+def split_tf(s, keep=("split",)):
+    return cut_lineage(TF.term_frequency(TF.terms(s, "text", "doc_id", keep), "doc_id", keep))
 
 
 @register("tfidf_transform_holdout",
@@ -170,23 +176,29 @@ def _split_tf(spark, sf_dir):
 def q_tfidf_transform_holdout(spark, sf_dir):
     """T5: fit on the train split, weight the test split with the train
     vocabulary and idf (unseen test terms dropped)."""
-    s, tf = _split_tf(spark, sf_dir)
-    train_tf = tf.where(F.col("split") == "train").drop("split")
-    test_tf = tf.where(F.col("split") == "test").drop("split")
+    s, _ = split_documents(spark, sf_dir)
+    tf = split_tf(s)
     n_train = s.where(F.col("split") == "train").count()
-    model = TF.fit(train_tf, n_train, min_df=MIN_DF, max_df=MAX_DF)
-    return TF.transform(test_tf, model, "doc_id")
+    model = TF.fit(tf.where(F.col("split") == "train"), n_train, min_df=MIN_DF, max_df=MAX_DF)
+    return TF.transform(tf.where(F.col("split") == "test"), model, "doc_id")
+
 
+_ALL_VOCAB = _vocab_sql(TF_SQL, ALL_N)
 
-@register("tfidf_vectors")
+
+@register("tfidf_vectors", f"""
+WITH w AS ({_weights_sql(TF_SQL, _ALL_VOCAB)}),
+i AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index FROM ({_ALL_VOCAB}))
+SELECT doc_id, list(term_index ORDER BY term_index) AS indices, list(round(weight, 6) ORDER BY term_index) AS weights
+FROM w JOIN i USING (term) GROUP BY doc_id
+""")
 def q_tfidf_vectors(spark, sf_dir):
-    """The same weights as sparse ML vectors (ROWS check; a unit test
-    compares them with the long form)."""
-    d = table(spark, sf_dir, "documents").select(
-        "doc_id", F.regexp_extract_all(F.lower(T.clean_text(F.col("text"))),
-                                       F.lit(TF.TERM_PATTERN), 0).alias("terms"))
-    model = TF.fit_vectors(d, "terms", "features", min_df=MIN_DF, max_df=MAX_DF)
-    return model.transform(d).select("doc_id", "features")
+    """The weights as sparse vectors, with the whole vocabulary."""
+    d = table(spark, sf_dir, "documents").select("doc_id", T.clean_text(F.col("text")).alias("text"))
+    tf = cut_lineage(TF.term_frequency(TF.terms(d, "text", "doc_id"), "doc_id"))
+    model = TF.fit(tf, d.count(), min_df=MIN_DF, max_df=MAX_DF, index=True)
+    rows = TF.sparse_rows(TF.transform(tf, model, "doc_id", index=True), "doc_id")
+    return rows.withColumn("weights", F.transform("weights", lambda w: F.round(w, 6)))
 
 
 # --- relational Naive Bayes + accuracy -------------------------------------
@@ -224,16 +236,22 @@ FROM test t JOIN pred p USING (doc_id)
 """
 
 
+def nb_parts(spark, sf_dir):
+    """Documents with split and label, their weights under the train
+    vocabulary, class sums of the train weights, vocabulary size and class
+    names: what Naive Bayes needs for any smoothing."""
+    keep = ("split", "label_id")
+    s, labels = split_documents(spark, sf_dir, label_ids=True)
+    tf = split_tf(s, keep)
+    train = F.col("split") == "train"
+    model = TF.fit(tf.where(train), s.where(train).count(), min_df=MIN_DF, max_df=MAX_DF)
+    weights = cut_lineage(TF.transform(tf, model, "doc_id", keep))
+    return s, weights, NB.class_sums(weights.where(train)), model.size, labels
+
+
 def nb_predictions(spark, sf_dir):
-    s, tf = _split_tf(spark, sf_dir)
-    s, labels = encode_labels(s, "lang")
-    train_tf = tf.where(F.col("split") == "train").drop("split")
-    n_train = s.where(F.col("split") == "train").count()
-    model = TF.fit(train_tf, n_train, min_df=MIN_DF, max_df=MAX_DF)
-    weights = cut_lineage(TF.transform(tf.drop("split"), model, "doc_id")
-                          .join(s.select("doc_id", "split"), "doc_id"))
-    nb = NB.fit(weights.where(F.col("split") == "train"), s.where(F.col("split") == "train"),
-                "doc_id", model.size, num_classes=len(labels))
+    s, weights, fc, size, labels = nb_parts(spark, sf_dir)
+    nb = NB.fit(fc, s.where(F.col("split") == "train"), size, num_classes=len(labels))
     test = s.where(F.col("split") == "test").select("doc_id", "label_id")
     return NB.predict(nb, weights.where(F.col("split") == "test"), test, "doc_id")
 

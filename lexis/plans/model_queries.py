@@ -1,8 +1,8 @@
 """Queries for the classifier suite (C1-C11), ranking (O1, O2, U2, F21),
 persistence and scoring (S4-S6) and the classical pipeline (M1).
 
-The classifier queries share one prepared feature set per session and
-data folder (documents labelled by ``lang``, normalised text, 25 % test).
+Each classifier query prepares its own features (documents labelled by ``lang``,
+deduplicated, normalised, 25 % test), so none depends on what ran before it.
 """
 
 from __future__ import annotations
@@ -12,36 +12,23 @@ from pyspark.sql import functions as F
 from lexis.operators import classify as C
 from lexis.operators import evaluate as EV
 from lexis.operators import naive_bayes as NB
-from lexis.operators import split as SP
-from lexis.operators import tfidf as TF
-from lexis.operators.rows import encode_labels
 from lexis.plans import pipeline as PL
-from lexis.plans.feature_queries import (MAX_DF, MIN_DF, SEED, SPLIT_TEXT_SQL, TEST_SIZE, TF_SQL,
-                                         TRAIN_N, TRAIN_TF_SQL, _split_tf, _vocab_sql)
+from lexis.plans.feature_queries import (SEED, SPLIT_TEXT_SQL, TEST_SIZE, TF_SQL, TRAIN_N, TRAIN_TF_SQL, _vocab_sql,
+                                         nb_parts)
 from lexis.plans.registry import register, table
 from lexis.session import scratch_path
 from lexis.sources.files import read_csv_table, write_csv_table
 
-_PREPARED: dict = {}
-
-QUERY_PARAMS = C.SuiteParams(seed=SEED, trees=100, tree_depth=12, boost_rounds=10,
-                             ada_rounds=20, svm_iter=50, mlp_hidden=100, mlp_iter=100)
-
 
 def prepared(spark, sf_dir) -> PL.Prepared:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PREPARED:
-        docs = table(spark, sf_dir, "documents")
-        _PREPARED[key] = PL.prepare_classification(docs, "text", "lang", "doc_id",
-                                                   test_size=TEST_SIZE, seed=SEED)
-    return _PREPARED[key]
+    return PL.prepare_classification(table(spark, sf_dir, "documents"), "text", "lang", "doc_id",
+                                     test_size=TEST_SIZE, seed=SEED)
 
 
 def _clf_query(key: str, name: str):
     @register(key)
     def q(spark, sf_dir):
-        _, pred = PL.fit_and_predict(prepared(spark, sf_dir), name, QUERY_PARAMS)
-        return pred
+        return PL.fit_and_predict(prepared(spark, sf_dir), name)[1]
 
     q.__doc__ = f"{name}: test-split predictions (doc_id, label_id, prediction)."
     return q
@@ -62,74 +49,49 @@ for _key, _name in (("clf_random_forest", "Random Forest"),
 @register("suite_ranking")
 def q_suite_ranking(spark, sf_dir):
     """All nine models, ranked by test accuracy (ties: suite order)."""
-    ranked, _ = PL.run_suite(prepared(spark, sf_dir), params=QUERY_PARAMS)
-    return ranked
+    return PL.run_suite(prepared(spark, sf_dir))[0]
 
 
 @register("pipeline_ml")
 def q_pipeline_ml(spark, sf_dir):
-    """M1 end to end on the driver's documents: ranking plus persisted
-    models (S5); the path of each saved model is returned with its row."""
-    prep = prepared(spark, sf_dir)
-    ranked, models = PL.run_suite(prep, params=QUERY_PARAMS)
-    paths = PL.save_models(models, prep, scratch_path(spark, "models"))
-    pdf = spark.createDataFrame(list(paths.items()), "model string, path string")
-    return ranked.join(F.broadcast(pdf), "model", "left")
+    """M1 end to end: the ranking, with the folder name under which each model
+    was saved (S5)."""
+    ranked = PL.run_pipeline(table(spark, sf_dir, "documents"), "text", "lang", "doc_id", test_size=TEST_SIZE, seed=SEED,
+                             out_dir=scratch_path(spark, "models"))
+    from lexis.functions.text import slugify
+
+    return ranked.withColumn("folder", slugify(F.col("model")))
+
+
+def saved_model(spark, sf_dir, name: str, prep=None) -> PL.TextModel:
+    """One suite member fitted, saved and loaded again."""
+    prep = prep or prepared(spark, sf_dir)
+    out = scratch_path(spark, "saved")
+    PL.save_models({name: PL.fit_and_predict(prep, name)[0]}, prep, out)
+    return PL.load_model(spark, out, name)
 
 
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
-    """S5 + S6: save vectoriser and Naive Bayes, reload both, score the test
-    split again; returns predictions before/after (must be equal)."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.classification import NaiveBayesModel
-
+    """S5 + S6: save Naive Bayes and its features, load both and score the raw
+    texts of the test split again; both predictions must agree."""
     prep = prepared(spark, sf_dir)
-    model, pred = PL.fit_and_predict(prep, "Naive Bayes", QUERY_PARAMS)
+    model, pred = PL.fit_and_predict(prep, "Naive Bayes")
     out = scratch_path(spark, "roundtrip")
-    paths = PL.save_models({"Naive Bayes": model}, prep, out)
-    reloaded = NaiveBayesModel.load(paths["Naive Bayes"])
-    vec = PipelineModel.load(f"{out}/tfidf_vectorizer")
-    docs = table(spark, sf_dir, "documents")
-    test_ids = prep.test.select("doc_id")
-    again = _score_texts(docs.join(test_ids, "doc_id", "left_semi"), vec, reloaded, out)
-    return pred.join(again.select("doc_id", F.col("prediction").alias("reloaded_prediction")),
-                     "doc_id")
-
-
-def _score_texts(docs, vectorizer, model, model_dir):
-    """Raw text -> stage-1 clean -> normalise -> features -> model ->
-    decoded class name (labels read back from ``model_dir``)."""
-    from lexis.functions.text import clean_text
-    from lexis.operators.tokens import normalize_text
-
-    spark = docs.sparkSession
-    cleaned = docs.select("doc_id", clean_text(F.col("text")).alias("text"))
-    normed = normalize_text(cleaned, "text", "doc_id")
-    feats = vectorizer.transform(normed.select("doc_id", PL.terms_column("text").alias("terms")))
-    scored = model.transform(feats.select("doc_id", "features"))
-    labels = spark.read.parquet(f"{model_dir}/labels").withColumnRenamed("code", "_code")
-    return scored.select("doc_id", F.col("prediction").cast("int").alias("prediction")) \
-        .join(F.broadcast(labels), F.col("prediction") == F.col("_code"), "left") \
-        .select("doc_id", "prediction", F.col("label").alias("predicted_label"))
+    PL.save_models({"Naive Bayes": model}, prep, out)
+    docs = table(spark, sf_dir, "documents").join(prep.test.select("doc_id"), "doc_id", "left_semi")
+    again = PL.score_texts(docs, PL.load_model(spark, out, "Naive Bayes"), "text", "doc_id")
+    return pred.join(again.select("doc_id", F.col("prediction").alias("reloaded_prediction")), "doc_id")
 
 
 @register("score_new_text")
 def q_score_new_text(spark, sf_dir):
-    """Score texts the model never saw (the conversations table) with
-    the saved vectoriser and model; output class names."""
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.classification import NaiveBayesModel
-
-    prep = prepared(spark, sf_dir)
-    model, _ = PL.fit_and_predict(prep, "Naive Bayes", QUERY_PARAMS)
-    out = scratch_path(spark, "scoring")
-    paths = PL.save_models({"Naive Bayes": model}, prep, out)
+    """Texts the model never saw (the conversations table), scored with a
+    saved model; output class names."""
     conv = table(spark, sf_dir, "conversations").select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("doc_id"),
         "text")
-    return _score_texts(conv, PipelineModel.load(f"{out}/tfidf_vectorizer"),
-                        NaiveBayesModel.load(paths["Naive Bayes"]), out)
+    return PL.score_texts(conv, saved_model(spark, sf_dir, "Naive Bayes"), "text", "doc_id")
 
 
 # --- SQL-checkable ranking over relational Naive Bayes variants -------------
@@ -188,30 +150,17 @@ RANK_SQL = (f"SELECT model, accuracy, position, CAST(row_number() OVER (ORDER BY
 def nb_results(spark, sf_dir):
     """Accuracy of relational Naive Bayes at several smoothing values and of
     the majority-class baseline: ``(model, accuracy, position)``."""
-    from lexis.session import cut_lineage
-
-    s, tf = _split_tf(spark, sf_dir)
-    s, labels = encode_labels(s, "lang")
-    train_tf = tf.where(F.col("split") == "train").drop("split")
-    n_train = s.where(F.col("split") == "train").count()
-    model = TF.fit(train_tf, n_train, min_df=MIN_DF, max_df=MAX_DF)
-    weights = cut_lineage(TF.transform(tf.drop("split"), model, "doc_id")
-                          .join(s.select("doc_id", "split"), "doc_id"))
-    train_w = weights.where(F.col("split") == "train")
-    test_w = weights.where(F.col("split") == "test")
-    test = s.where(F.col("split") == "test").select("doc_id", "label_id")
-    size = model.size
+    s, weights, fc, size, labels = nb_parts(spark, sf_dir)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test").select("doc_id", "label_id")
+    test_weights = weights.where(F.col("split") == "test")
     preds = []
     for i, a in enumerate(ALPHAS):
-        nb = NB.fit(train_w, s.where(F.col("split") == "train"), "doc_id", size,
-                    alpha=a, num_classes=len(labels))
-        p = NB.predict(nb, test_w, test, "doc_id").withColumn(
-            "model", F.lit(f"Naive Bayes (alpha={a})")).withColumn("position", F.lit(i))
-        preds.append(p)
-    major = (s.where(F.col("split") == "train").groupBy("label_id").count()
-             .orderBy(F.desc("count"), "label_id").first()[0])
-    preds.append(test.withColumn("prediction", F.lit(major)).withColumn("model", F.lit("Majority class"))
-                 .withColumn("position", F.lit(len(ALPHAS))))
+        nb = NB.fit(fc, train, size, alpha=a, num_classes=len(labels))
+        preds.append(NB.predict(nb, test_weights, test, "doc_id").select(
+            "label_id", "prediction", F.lit(f"Naive Bayes (alpha={a})").alias("model"), F.lit(i).alias("position")))
+    major = train.groupBy("label_id").count().orderBy(F.desc("count"), "label_id").first()[0]
+    preds.append(test.select("label_id", F.lit(major).alias("prediction"), F.lit("Majority class").alias("model"),
+                             F.lit(len(ALPHAS)).alias("position")))
     allp = preds[0]
     for p in preds[1:]:
         allp = allp.unionByName(p)

@@ -30,10 +30,8 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cores when the scan is too coarse."""
-    from lexis.operators.rows import spread
+    """A driver table."""
     from lexis.session import ship_package
 
     ship_package(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, df.columns[0])
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

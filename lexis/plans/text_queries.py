@@ -25,13 +25,7 @@ SQL_URL = r"'https?://\S+|www\.\S+', ' ', 'gi'"
 SQL_MENTION = r"'@[\p{L}\p{N}_]+', ' ', 'g'"
 SQL_HASHTAG = r"'#[\p{L}\p{N}_]+', ' ', 'g'"
 SQL_NON_LETTER = r"'[^a-z\s]', ' ', 'g'"
-SQL_EMOJI = (
-    r"'[#*0-9]\x{FE0F}?\x{20E3}"
-    r"|[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2300}-\x{23FF}\x{2B00}-\x{2BFF}"
-    r"\x{1F1E6}-\x{1F1FF}\x{E0020}-\x{E007F}\x{FE00}-\x{FE0F}\x{200D}\x{20E3}"
-    r"\x{00A9}\x{00AE}\x{203C}\x{2049}\x{2122}\x{2139}\x{2194}-\x{21AA}"
-    r"\x{24C2}\x{25AA}-\x{25FE}\x{2934}\x{2935}\x{3030}\x{303D}\x{3297}\x{3299}]', '', 'g'"
-)
+SQL_EMOJI = f"'{T.EMOJI_PATTERN}', '', 'g'"
 
 
 def sql_clean(expr: str) -> str:

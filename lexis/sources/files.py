@@ -23,16 +23,20 @@ NA_STRINGS = (
 
 def _not_found(e: Exception, path: str) -> Exception:
     if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-        return FileNotFoundError(f"Dataset not found at: {path}")
+        return FileNotFoundError(f"no such path: {path}")
     return e
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: str, *,
-                   multiline: bool = True) -> DataFrame:
+                   multiline: bool = True, file_order: str | None = None) -> DataFrame:
     """S1 + S2: CSV with header and RFC-4180 quoting; every string field in
     NA_STRINGS becomes null.  ``multiline=True`` allows newlines inside quoted
     fields (one task per file); for big inputs land the data as Parquet once,
-    or pass ``multiline=False`` to keep files splittable."""
+    or pass ``multiline=False`` to keep files splittable.
+
+    ``file_order`` names a unique column that orders rows as the files hold
+    them: file path, start of the block, place in the task's run.  (Tasks take
+    blocks by size, so the running row number alone is not file order.)"""
     try:
         df = (
             spark.read.schema(schema)
@@ -54,6 +58,10 @@ def read_csv_table(spark: SparkSession, path: str, schema: str, *,
         if f.dataType.simpleString() == "string":
             c = F.when(c.isin(na), F.lit(None)).otherwise(c).alias(f.name)
         cols.append(c)
+    if file_order:
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("row"))
+        cols.append(place.alias(file_order))
     return df.select(*cols)
 
 
@@ -81,18 +89,16 @@ def write_csv_table(df: DataFrame, path: str, *, single_file: bool = False) -> s
 
 def load_labeled_text(df: DataFrame, text_col: str, label_col: str, *,
                       order_col: str, drop_duplicates: bool = True,
-                      id_col: str = "label_id", row_id: str | None = "row_id",
-                      max_classes: int = 10_000) -> tuple[DataFrame, list]:
+                      id_col: str = "label_id", row_id: str | None = "row_id") -> tuple[DataFrame, list]:
     """M3: column check -> dedup on text keeping the first row -> label
     codes (alphabetical) -> dense row ids 0..n-1 in ``order_col`` order.
 
-    ``order_col`` must be unique; for a CSV source use
-    ``monotonically_increasing_id()`` taken right after the scan.
+    ``order_col`` must be unique; a CSV source gives one (``file_order``).
     Returns ``(frame, class names ordered by code)``."""
     require_columns(df, text_col, label_col, order_col)
     if drop_duplicates:
         df = dedup_first(df, text_col, order_col)
-    df, labels = encode_labels(df, label_col, id_col, max_classes)
+    df, labels = encode_labels(df, label_col, id_col)
     if row_id:
         df = dense_index(df, [order_col], row_id)
     return df, labels
@@ -105,10 +111,9 @@ def load_labeled_csv(spark: SparkSession, path: str, text_col: str = "Sentence",
     header = read_header(spark, path)
     missing = sorted({text_col, label_col} - set(header))
     if missing:
-        raise KeyError(f"Dataset is missing required column(s): {missing}")
+        raise KeyError(f"columns absent from the header: {missing}")
     schema = ", ".join(f"`{c}` string" for c in header)
-    df = read_csv_table(spark, path, schema, multiline=kw.pop("multiline", True))
-    df = df.withColumn("_order", F.monotonically_increasing_id())
+    df = read_csv_table(spark, path, schema, multiline=kw.pop("multiline", True), file_order="_order")
     return load_labeled_text(df, text_col, label_col, order_col="_order", **kw)
 
 

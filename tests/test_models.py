@@ -29,9 +29,7 @@ def test_each_model_scores_toy_data(spark):
     for name in C.SUITE_ORDER:
         model = C.fit_model(name, train, 4, 2, p)
         acc = C.accuracy(model.transform(test))
-        assert 0.0 <= acc <= 1.0, name
-        if name in ("Random Forest", "Decision Tree"):
-            assert acc == 1.0, name
+        assert acc >= 0.9, name  # two well separated clouds
 
 
 def test_ranking_is_stable(spark):
@@ -41,7 +39,7 @@ def test_ranking_is_stable(spark):
     assert [x["model"] for x in r2.orderBy("rank").collect()] == ["T", "A"]
 
 
-def test_adaboost_uses_checkpoints(spark):
+def test_adaboost_separates(spark):
     train = toy(spark, 40, 3)
     m = C.AdaBoost(rounds=3, num_classes=2).fit(train)
     assert len(m.stumps) >= 1
@@ -64,3 +62,58 @@ def test_adaboost_reweights_over_rounds(spark):
     assert len(m.stumps) >= 2
     assert all(a > 0 for a in m.alphas)
     assert C.accuracy(m.transform(df)) == 1.0
+
+
+def test_defaults_are_full():
+    p = C.SuiteParams()
+    assert (p.trees, p.tree_depth, p.boost_rounds, p.ada_rounds, p.svm_iter, p.mlp_iter) == (100, 30, 100, 50, 1000, 1000)
+
+
+WORDS = {"good": "profits soared record gains wolves", "bad": "losses layoffs heavy decline axes", "flat": "unchanged steady session gases"}
+
+
+def _labelled(spark, n=48):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(n):
+        label = sorted(WORDS)[i % 3]
+        rows.append((i, f"{rnd.choice(['The', 'Our'])} {' '.join(rnd.choices(WORDS[label].split(), k=6))} number{i}", label))
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+
+
+SMALL = C.SuiteParams(trees=5, tree_depth=4, boost_rounds=2, ada_rounds=4, svm_iter=10, mlp_hidden=6, mlp_iter=60)
+
+
+def test_every_model_saves_loads_and_scores_alike(spark, tmp_path):
+    """All nine models: scored alone, in a batch and after loading, a text gets
+    the prediction it had when the model was made."""
+    from lexis.plans import pipeline as PL
+
+    df = _labelled(spark)
+    prep = PL.prepare_classification(df, "text", "lang", "doc_id", fold=64)
+    ranked, models = PL.run_suite(prep, params=SMALL)
+    assert set(models) == set(C.SUITE_ORDER)
+    accuracy = {r["model"]: r["accuracy"] for r in ranked.collect()}
+    assert all(a >= 0.6 for a in accuracy.values()), accuracy
+    PL.save_models(models, prep, str(tmp_path / "m"))
+    test = df.join(prep.test.select("doc_id"), "doc_id", "left_semi").cache()
+    first = test.orderBy("doc_id").limit(1)
+    for name in C.SUITE_ORDER:
+        rows = prep.features.vectors(prep.test, name)
+        made = {r["doc_id"]: int(r["prediction"]) for r in models[name].transform(rows).select("doc_id", "prediction").collect()}
+        loaded = PL.load_model(spark, str(tmp_path / "m"), name)
+        again = {r["doc_id"]: r for r in PL.score_texts(test, loaded, "text", "doc_id").collect()}
+        assert {i: r["prediction"] for i, r in again.items()} == made, name
+        assert all(r["predicted_label"] == prep.labels[r["prediction"]] for r in again.values())
+        alone = PL.score_texts(first, loaded, "text", "doc_id").collect()
+        assert [r["prediction"] for r in alone] == [made[r["doc_id"]] for r in alone], name
+
+
+def test_pipeline_options(spark):
+    from lexis.plans import pipeline as PL
+
+    prep = PL.prepare_classification(_labelled(spark), "text", "lang", "doc_id", use_idf=False,
+                                     normalizer={"lemmatize": False, "stem": False, "remove_stop": False, "min_token_length": 4})
+    words = {r["term"] for r in prep.features.vocabulary.vocab.collect()}
+    assert "soared" in words and "the" not in words and prep.features.lexicon is None
+    assert {r["idf"] for r in prep.features.vocabulary.vocab.collect()} == {1.0}

@@ -10,7 +10,7 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
-    assert df.columns == ["doc_id", "label_id", "prediction"]
+    assert df.columns == ["model", "accuracy", "position", "rank"]
 
 
 def test_every_oracle_has_a_query():
@@ -39,3 +39,49 @@ def test_sequences_fixed_length(spark):
     ids = {r["token"]: r["token_id"] for r in vocab.collect()}
     assert rows[0]["input_ids"][:5] == [0, ids["a"], ids["b"], ids["a"], 2]
     assert rows[2]["attention_mask"] == [1] * 8
+
+
+def test_queries_load_without_a_jvm():
+    """A fresh process with nothing but the zipped pyspark on its path, no
+    SparkContext and no jars folder."""
+    import glob
+    import subprocess
+    import sys
+
+    import pyspark
+
+    lib = os.path.join(os.path.dirname(pyspark.__file__), "python", "lib")
+    zips = glob.glob(f"{lib}/pyspark.zip") + glob.glob(f"{lib}/py4j-*.zip")
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    code = ("import __spark_entry__ as e; from pyspark import SparkContext; "
+            "print(len(e.queries()), len(e.oracle_sql()), SparkContext._active_spark_context)")
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120,
+                          env=os.environ | {"PYTHONPATH": ":".join(zips)})
+    assert done.returncode == 0, done.stderr[-2000:]
+    n, m, context = done.stdout.split()[-3:]
+    assert int(n) >= 68 and int(m) >= 51 and context == "None"
+
+
+def test_first_rows_in_table_order(spark):
+    """A preview is the first rows of the ordering column."""
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "id bigint, t string")
+    assert [r["t"] for r in df.orderBy("id").limit(2).collect()] == ["a", "b"]
+
+
+def test_stream_scores_like_a_batch(spark, tmp_path):
+    from lexis.operators import classify as C
+    from lexis.plans import pipeline as PL
+
+    rows = [(i, ("profits soared wolves" if i % 2 else "heavy losses axes") + f" n{i}", "ab"[i % 2]) for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    prep = PL.prepare_classification(df, "text", "lang", "doc_id")
+    model = PL.fit_and_predict(prep, "Naive Bayes", C.SuiteParams())[0]
+    PL.save_models({"Naive Bayes": model}, prep, str(tmp_path / "m"))
+    loaded = PL.load_model(spark, str(tmp_path / "m"), "Naive Bayes")
+    for i in range(3):
+        df.where(F.col("doc_id") % 3 == i).select("doc_id", "text").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = ST.read_text_stream(spark, str(tmp_path / "in"), "doc_id bigint, text string", max_files_per_trigger=1)
+    ST.score_stream(stream, lambda b: PL.score_texts(b, loaded, "text", "doc_id"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    streamed = {r["doc_id"]: r["predicted_label"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    batch = {r["doc_id"]: r["predicted_label"] for r in PL.score_texts(df, loaded, "text", "doc_id").collect()}
+    assert streamed == batch and len(streamed) == 24

@@ -56,13 +56,18 @@ def test_tfidf_long_form_and_vectors_agree(spark):
     norm = math.sqrt(sum(v * v for v in raw.values()))
     assert abs(long[(0, "apple")] - raw["apple"] / norm) < 1e-12
     assert not any(k[0] == 3 for k in long)  # no term -> zero vector
-    arr = docs.select("id", F.regexp_extract_all(F.lower("t"), F.lit(TF.TERM_PATTERN), 0).alias("terms"))
-    vm = TF.fit_vectors(arr, "terms", "features", min_df=0.0, max_df=1.0)
-    vocab = vm.stages[0].vocabulary
-    for r in vm.transform(arr).collect():
+    tf = TF.term_frequency(TF.terms(docs, "t", "id"), "id")
+    model = TF.fit(tf, n, min_df=0.0, max_df=1.0, index=True)
+    rows = TF.sparse_rows(TF.transform(tf, model, "id", index=True), "id")
+    vocab = {r["term_index"]: r["term"] for r in model.vocab.collect()}
+    assert [vocab[i] for i in sorted(vocab)] == ["apple", "banana", "cherry", "date"]
+    for r in TF.vectors(rows, len(vocab)).collect():
+        v = r["features"].toArray()
+        assert all(abs(v[i] - long.get((r["id"], term), 0.0)) < 1e-12 for i, term in vocab.items())
+    for r in TF.vectors(rows, len(vocab), fold=2).collect():  # every term is in one of two slots
         v = r["features"].toArray()
-        for i, term in enumerate(vocab):
-            assert abs(v[i] - long.get((r["id"], term), 0.0)) < 1e-9
+        want = [sum(long.get((r["id"], term), 0.0) for i, term in vocab.items() if i % 2 == slot) for slot in (0, 1)]
+        assert abs(v[0] - want[0]) < 1e-12 and abs(v[1] - want[1]) < 1e-12
 
 
 def test_empty_vocabulary_raises(spark):

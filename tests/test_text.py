@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lexis.functions import text as T
-from lexis.functions.stem import stem
+from lexis.functions.stem import stem_column
 from lexis.operators.tokens import normalize_text
 
 
@@ -42,10 +43,52 @@ def test_argmax_first_on_ties(spark):
     assert df.select(T.argmax(F.col("a"))).first()[0] == 1
 
 
-def test_stems():
-    assert stem("companies") == "compani"
-    assert stem("running") == "run"
-    assert stem("generously") == "generous"
+STEMS = {
+    # published examples, one or more per step of the algorithm
+    "companies": "compani", "running": "run", "generously": "generous", "caresses": "caress", "ties": "tie",
+    "cries": "cri", "gas": "gas", "this": "this", "gaps": "gap", "kiwis": "kiwi", "luxuriated": "luxuri",
+    "hopping": "hop", "hoped": "hope", "agreed": "agre", "cry": "cri", "by": "by", "say": "say", "sayings": "say",
+    "relational": "relat", "conditional": "condit", "radically": "radic", "geology": "geolog", "hopefulness": "hope",
+    "triplicate": "triplic", "formative": "format", "communism": "communism", "arsenic": "arsenic", "adoption": "adopt",
+    "replacement": "replac", "skies": "sky", "dying": "die", "news": "news", "inning": "inning", "exceed": "exceed",
+    "proceeds": "proceed", "controll": "control", "rate": "rate", "yield": "yield", "youth": "youth", "boyish": "boyish",
+    "'tis": "tis", "dog's": "dog", "a": "a", "": "",
+}
+
+
+def test_stems(spark):
+    df = spark.createDataFrame(list(STEMS.items()), "word string, want string").withColumn("got", stem_column(F.col("word")))
+    assert {r["word"]: r["got"] for r in df.collect()} == STEMS
+    with pytest.raises(ValueError):
+        stem_column(F.col("word"), "german")
+
+
+def test_symbols_that_are_no_emoji_stay(spark):
+    for kept in ("★ ✓ ⌘ ● ○ ☐ ❶", "a\u200db", "\u0915\u094d\u200d\u0937", "x\ufe0f", "1 # *"):
+        assert one(spark, T.strip_emoji, kept) == kept
+    for gone in ("\U0001f469\u200d\U0001f469\u200d\U0001f467", "\U0001f44d\U0001f3fd", "\U0001f1eb\U0001f1f7", "\u2600\ufe0f", "#\ufe0f\u20e3"):
+        assert one(spark, T.strip_emoji, f"[{gone}]") == "[]"
+
+
+def test_percent_labels_round_like_python(spark):
+    values = [0.00125, 0.00375, 0.0, 1.0, 0.5, 0.7363, 5e-05, 0.0015, 0.99995, 2 / 3, *(k / 1600 for k in range(1601))]
+    df = spark.createDataFrame([(v,) for v in values], "v double").withColumn("s", T.percent_label(F.col("v")))
+    assert [(r["v"], r["s"]) for r in df.collect()] == [(v, f"{v * 100:.2f}%") for v in values]
+
+
+def test_normalising_stays_inside_the_row(spark):
+    df = spark.createDataFrame([(0, "The companies' profits")], "id bigint, t string")
+    plan = normalize_text(df, "t", "id", lemmatize=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_lemmas_follow_the_lexicon_given(spark):
+    """A text's lemmas depend on the lexicon, not on the texts around it."""
+    lexicon = spark.createDataFrame([("wolf",), ("gas",), ("ax",)], "token string")
+    alone = spark.createDataFrame([(0, "wolves gases axes")], "id bigint, t string")
+    among = spark.createDataFrame([(0, "wolves gases axes"), (1, "wolve gase axe wolves")], "id bigint, t string")
+    got = [normalize_text(d, "t", "id", lexicon=lexicon, stem=False).where("id = 0").first()["t"] for d in (alone, among)]
+    assert got == ["wolf gas ax"] * 2
 
 
 def test_normalize_full(spark):
