@@ -19,6 +19,7 @@ from lexis.functions.text import MULTISPACE_PATTERN, normalize_prefix
 from lexis.operators.rows import require_columns
 from lexis.session import cut_lineage, written
 
+MAX_BROADCAST_WORDS = 100_000
 # Fixed values.
 # Noun suffix-detachment rules (WordNet morphology), in rule order.
 NOUN_RULES = (
@@ -55,9 +56,11 @@ def min_length(tokens: DataFrame, n: int = 2) -> DataFrame:
 
 
 def remove_stopwords(tokens: DataFrame, words=None) -> DataFrame:
-    """Broadcast anti join against the (bounded) stop-word list."""
+    """Anti join against the stop words (a broadcast up to
+    MAX_BROADCAST_WORDS of them, else by shuffle)."""
+    words = stopword_list() if words is None else sorted(set(words))
     stop = stopwords_frame(tokens.sparkSession, words)
-    return tokens.join(F.broadcast(stop), "token", "left_anti")
+    return tokens.join(F.broadcast(stop) if len(words) <= MAX_BROADCAST_WORDS else stop, "token", "left_anti")
 
 
 def lemma_rules(vocab: DataFrame, lexicon: DataFrame | None = None,
