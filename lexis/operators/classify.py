@@ -39,6 +39,7 @@ class SuiteParams:
     ada_rounds: int = 50
     svm_iter: int = 1000
     svm_c: float = 1.0
+    svm_tol: float = 1e-3  # the usual stopping tolerance of a support vector machine
     mlp_hidden: int = 100
     mlp_iter: int = 1000
     fold: int = 2048
@@ -71,7 +72,7 @@ def build_estimator(name: str, num_features: int, num_classes: int, p: SuitePara
         reg = 1.0 / (p.svm_c * num_rows) if num_rows else 0.0
         # no feature standardisation, as in a plain SVC on TF-IDF (and it
         # converges several times faster on sparse, L2-normalised rows)
-        return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, regParam=reg,
+        return OneVsRest(classifier=LinearSVC(maxIter=p.svm_iter, tol=p.svm_tol, regParam=reg,
                                               standardization=False),
                          parallelism=min(num_classes, PARALLEL))
     if name == "Naive Bayes":
