@@ -9,10 +9,9 @@ candidates, and candidates are confirmed with 100*|A and B| >= 75*|A or B| on
 their full shingle sets.
 
 Scale: documents with equal sets form one class (aggregated map-side), and only
-classes are compared.  In a bucket every class is compared with one pivot, first
-the best-connected class, then the one with the fewest shingles of its own;
-buckets whose members are then connected are done.  What is left is compared
-across components, where exact bounds rule out most pairs: shingles that no other
+classes are compared.  In a bucket every class is compared with one pivot, the
+best-connected class; buckets whose members are then connected are done.  What is
+left is compared across components, where exact bounds rule out most pairs: shingles that no other
 candidate has can't be shared, distances to a common pivot differ by no more than
 the distance of the pair, and parity bitmaps of the sets differ in no more bits
 than the sets have different shingles.  So no pair of different components in a
@@ -128,25 +127,22 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """Component of every node of ``edges`` (a, b): (node, root), root being
-    the smallest node.  Alternates large-star and small-star rounds, each a
-    grouped minimum and a join, until nothing changes."""
-    both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    cur, before = written(both, "links"), None
+    """(node, root) of every node of ``edges`` (a, b) but the roots: the root is
+    the smallest node of a component.  Alternates large-star and small-star
+    rounds, each a grouped minimum and a join, until nothing changes."""
+    cur, before = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), None
     while True:
         sym = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = sym.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = sym.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
                                             .alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         cur = written(small, "links")
         now = cur.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before:
-            break
+        if now == before:  # every node then has one edge, to its root
+            return cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
-    roots = cur.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
-    return roots.union(roots.select("root", "root").distinct())
 
 
 def _similar(common: Column, n1: Column, n2: Column) -> Column:
@@ -172,13 +168,9 @@ def _may_link(n1: str, s1: str, n2: str, s2: str) -> Column:
     return common * 100 >= union * 75
 
 
-def _open(member: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _open(member: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their components, of the buckets that hold more than one."""
-    if roots is None:
-        cur = member.withColumn("root", F.col("cls"))
-    else:
-        cur = member.join(roots.withColumnRenamed("node", "cls"), "cls", "left") \
-            .withColumn("root", F.coalesce("root", "cls"))
+    cur = member.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     mixed = cur.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
         .where("lo <> hi").select("bucket")
     return cur.join(mixed, "bucket", "left_semi")
@@ -196,49 +188,37 @@ def _shared_counts(cur: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def class_components(docs: DataFrame, sk: DataFrame) -> DataFrame:
-    """(cls, root) for every class linked to another one."""
+    """(cls, root) for the classes that are linked to a smaller one."""
     known = sk.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
-    classes = known.groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    one = known.join(classes, ["cls", "doc_id"], "left_semi").dropDuplicates(["cls"])
-    rows = one.select("cls", "n", F.explode("bands").alias("bucket"))
+    # all rows of a class have the same set, and so the same size and bands
+    one = known.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    rows = one.select("cls", "doc_id", "n", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     member = written(rows.join(shared, "bucket"), "members")
     weight = member.groupBy("cls").agg(F.sum("c").alias("w"))
-    member = written(member.join(weight, "cls").select("bucket", "cls", "n", F.col("n").alias("s"), "w"), "members")
 
-    wanted = classes.join(weight, "cls", "left_semi").select("doc_id").distinct()
+    wanted = member.select("doc_id").distinct()
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = text.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(
         _sets, "cls binary, set array<bigint>, bits array<bigint>").where("cls is not null").dropDuplicates(["cls"])
     sets = written(sets, "sets")
 
-    tested = roots = pivots = None
-    for step in ("hub", "centre", "rest"):
-        cur = written(_open(member, roots), "open")
-        if cur.isEmpty():
-            break
-        if step == "centre":
-            s = _shared_counts(cur, sets)
-            member = written(cur.drop("s", "root").join(s, "cls").where(_may_link("n", "s", "n", "s")), "members")
-            cur = written(_open(member, roots), "open")
-        if step == "rest":
-            pairs = _rest(cur.join(sets.select("cls", "bits"), "cls"), pivots, tested)
-        else:
-            lead = cur.groupBy("bucket").agg(F.max(F.struct((F.col("s") - F.col("n")).alias("own"), "w", "cls", "n", "s", "root"))
-                                             .alias("p")).select("bucket", "p")
-            pivots = written(lead.select("bucket", F.col("p.cls").alias("p")), "pivots")
-            pairs = cur.join(lead.select("bucket", F.col("p.cls").alias("pc"), F.col("p.n").alias("pn"),
-                                         F.col("p.s").alias("ps"), F.col("p.root").alias("pr")), "bucket") \
-                .where("root <> pr").where(_may_link("n", "s", "pn", "ps")) \
-                .select(F.least("cls", "pc").alias("a"), F.greatest("cls", "pc").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = written(_verify(pairs, sets), "verified")
-        tested = found if tested is None else tested.union(found)
-        if not found.where("linked").isEmpty():
-            roots = written(connected(tested.where("linked").select("a", "b")), "roots")
-    if roots is None:
-        return sk.select("cls", F.col("cls").alias("root")).limit(0)
+    # in every bucket the best-connected class is compared with all others
+    lead = member.join(weight, "cls").groupBy("bucket").agg(F.max(F.struct("w", "cls", "n")).alias("p"))
+    pivots = written(lead.select("bucket", F.col("p.cls").alias("p"), F.col("p.n").alias("pn")), "pivots")
+    pairs = member.join(pivots, "bucket").where("cls <> p").where(_may_link("n", "n", "pn", "pn")) \
+        .select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b")).distinct()
+    tested = written(_verify(pairs, sets), "verified")
+    roots = written(connected(tested.where("linked").select("a", "b")), "roots")
+
+    # and in buckets that are then still in parts, the parts with each other
+    cur = written(_open(member.select("bucket", "cls", "n"), roots), "open")
+    if not cur.isEmpty():
+        cur = cur.join(_shared_counts(cur, sets), "cls").where(_may_link("n", "s", "n", "s"))
+        pairs = _rest(cur.join(sets.select("cls", "bits"), "cls"), pivots, tested).join(tested, ["a", "b"], "left_anti")
+        links = written(_verify(pairs, sets), "verified").where("linked")
+        if not links.isEmpty():
+            roots = connected(roots.toDF("a", "b").union(links.select("a", "b")))
     return roots.withColumnRenamed("node", "cls")
 
 
@@ -247,7 +227,7 @@ def _rest(cur: DataFrame, pivots: DataFrame, tested: DataFrame) -> DataFrame:
     their shared shingles, nor the distances to the bucket's pivot, nor their
     parity bitmaps rule out."""
     d = tested.select("a", "b", (1 - F.col("common") / (F.col("n1") + F.col("n2") - F.col("common"))).alias("d"))
-    cur = cur.join(pivots, "bucket", "left") \
+    cur = cur.join(pivots.drop("pn"), "bucket", "left") \
         .withColumn("a", F.least("cls", "p")).withColumn("b", F.greatest("cls", "p")).join(d, ["a", "b"], "left")
     x, y = (cur.select("bucket", *[F.col(c).alias(c + k) for c in ("cls", "root", "n", "s", "d", "bits")]) for k in "12")
     apart = F.coalesce(F.abs(F.col("d1") - F.col("d2")), F.lit(0.0))
