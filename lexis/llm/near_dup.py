@@ -197,7 +197,7 @@ def class_components(docs: DataFrame, sk: DataFrame) -> DataFrame:
     member = written(rows.join(shared, "bucket"), "members")
     weight = member.groupBy("cls").agg(F.sum("c").alias("w"))
 
-    wanted = member.select("doc_id").distinct()
+    wanted = member.select("doc_id").distinct().hint("shuffle_hash")  # texts are dealt out, but not sorted
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = text.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(
         _sets, "cls binary, set array<bigint>, bits array<bigint>").where("cls is not null").dropDuplicates(["cls"])
