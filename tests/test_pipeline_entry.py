@@ -85,3 +85,15 @@ def test_stream_scores_like_a_batch(spark, tmp_path):
     streamed = {r["doc_id"]: r["predicted_label"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     batch = {r["doc_id"]: r["predicted_label"] for r in PL.score_texts(df, loaded, "text", "doc_id").collect()}
     assert streamed == batch and len(streamed) == 24
+
+
+def test_pipeline_sequences_same_as_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    rel = con.sql(E.oracle_sql()["pipeline_sequences"])
+    want = sorted(tuple(r) for r in rel.fetchall())
+    got = E.queries()["pipeline_sequences"](spark, sf).select(rel.columns).collect()
+    assert want and sorted(tuple(r) for r in got) == want
