@@ -168,6 +168,14 @@ def _may_link(n1: str, s1: str, n2: str, s2: str) -> Column:
     return common * 100 >= union * 75
 
 
+def _light() -> Column:
+    """Whether a set could still be similar to one that has as many shingles
+    without another holder.  Of two linked sets at least one is light: a set
+    with u shingles of its own can be linked only if its partner has no more
+    than (100 s - 75 n) / 75, and both partners can't lie above the other's."""
+    return _may_link("n", "s", "n", "s")
+
+
 def _open(member: DataFrame, roots: DataFrame) -> DataFrame:
     """Members, with their components, of the buckets that hold more than one."""
     cur = member.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
@@ -214,7 +222,7 @@ def class_components(docs: DataFrame, sk: DataFrame) -> DataFrame:
     # and in buckets that are then still in parts, the parts with each other
     cur = written(_open(member.select("bucket", "cls", "n"), roots), "open")
     if not cur.isEmpty():
-        cur = cur.join(_shared_counts(cur, sets), "cls").where(_may_link("n", "s", "n", "s"))
+        cur = cur.join(_shared_counts(cur, sets), "cls").where(F.col("s") * 100 >= F.col("n") * 75)
         pairs = _rest(cur.join(sets.select("cls", "bits"), "cls"), pivots, tested).join(tested, ["a", "b"], "left_anti")
         links = written(_verify(pairs, sets), "verified").where("linked")
         if not links.isEmpty():
@@ -229,10 +237,11 @@ def _rest(cur: DataFrame, pivots: DataFrame, tested: DataFrame) -> DataFrame:
     d = tested.select("a", "b", (1 - F.col("common") / (F.col("n1") + F.col("n2") - F.col("common"))).alias("d"))
     cur = cur.join(pivots.drop("pn"), "bucket", "left") \
         .withColumn("a", F.least("cls", "p")).withColumn("b", F.greatest("cls", "p")).join(d, ["a", "b"], "left")
-    x, y = (cur.select("bucket", *[F.col(c).alias(c + k) for c in ("cls", "root", "n", "s", "d", "bits")]) for k in "12")
+    cur = cur.withColumn("light", _light())
+    x, y = (cur.select("bucket", *[F.col(c).alias(c + k) for c in ("cls", "root", "n", "s", "d", "bits", "light")]) for k in "12")
     apart = F.coalesce(F.abs(F.col("d1") - F.col("d2")), F.lit(0.0))
     differ = sum((F.bit_count(F.col("bits1")[i].bitwiseXOR(F.col("bits2")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
-    pairs = x.join(y, "bucket").where("root1 < root2").where(_may_link("n1", "s1", "n2", "s2")).where(apart <= 0.2500001) \
+    pairs = x.where("light1").join(y, "bucket").where("root1 < root2 or (root1 > root2 and not light2)").where(_may_link("n1", "s1", "n2", "s2")).where(apart <= 0.2500001) \
         .where(differ * 7 <= F.col("n1") + F.col("n2"))  # 0.75 or more leaves a seventh at most to one set alone
     return pairs.select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b")).distinct()
 

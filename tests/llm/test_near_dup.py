@@ -96,3 +96,20 @@ def test_defined_cases(spark, frame, prose, clashing):
     assert sorted(str(r.doc_id) for r in left.collect()) == ["1", "3", "None", "None"]
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
     assert near_dup.near_duplicates(df.withColumn("text", F.lit(None).cast("string"))).count() == 6
+
+
+def test_partner_within_a_longer_text(frame, prose):
+    """Some hundred edited copies, and twenty of them once more with a third of
+    text of their own, each of which is similar to that one copy only."""
+    base = prose(200, 21).split()
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        copy[i * 7 % 200] = f"edit{i}"
+        rows.append((i, " ".join(copy)))
+    longer = range(5, 300, 15)
+    rows += [(1000 + i, rows[i][1] + " " + prose(64, 50 + i)) for i in longer]
+    alone = helpers.components({k: v for k, v in rows if k not in longer})
+    assert all(alone[1000 + i][1] == 1000 + i for i in longer)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame(rows)).collect()}
+    assert got == {i: c for i, (_, c) in helpers.components(dict(rows)).items()} == {i: 0 for i, _ in rows}
