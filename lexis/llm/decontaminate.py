@@ -8,16 +8,17 @@ agree to 3 bits in one block at least (4 * 4 > 15), so the lookup finds all of
 them.  What it finds is verified with the weighted Jaccard similarity of 5-word
 shingles (weights are counts): 100 * sum of minima >= 75 * sum of maxima.
 
-Which windows: a window with similarity 0.75 or more shares shingles with the
-item, and its similarity is piecewise linear in its place, with the largest
-values where a shared shingle of both is aligned.  So the windows are those that
-align a shared shingle; all others can't be better and aren't built.  Documents
-shorter than an item are one window.
+Which windows: moving a window on past a shingle that the item lacks loses
+nothing, so some best window of an item begins with a shared shingle, or is the
+last of its text.  Those windows, and those that align a shared shingle with its
+place in the item, are built if they hold enough shared shingles: similarity of
+0.75 needs 6 of 7 on average over both lists.  Documents shorter than an item are
+one window.
 
 Scale: whole texts are cut into shingles inside the row; the benchmark's
 shingles are broadcast if they are few enough (BROADCAST_ROWS, checked), else
-joined by shuffle.  Texts that share a shingle are fetched once more for their
-windows; all later rows are a few per shared passage.
+joined by shuffle.  Shared shingles are counted by running sums in order of
+place.  Texts with a window to build are fetched once more.
 
 Defined cases: null and empty texts and items have no words and match nothing.
 Items of fewer than five words are one shingle of all their words.  Rows without
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexis.llm.common import SPACE_CLASS, ascii_lower
@@ -106,8 +107,8 @@ def _few(table: DataFrame) -> DataFrame:
 
 
 def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc, tid, m, k, start, words) of the windows that align a shared
-    shingle."""
+    """(doc, tid, m, k, start, words) of the windows that can be similar to an
+    item of their length."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.where(F.col("doc_id").isNotNull() & (text != "")).select(
         F.col("doc_id").cast("bigint").alias("doc"), F.xxhash64(text).alias("tid"), text.alias("text"))
@@ -119,10 +120,9 @@ def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     for k in sizes or [SHINGLE]:
         at = listed.select("doc", "tid", F.size("words").alias("n"),
                            F.posexplode(shingle_hashes("words", k)).alias("pos", "h")).where(F.col("pos") <= F.col("n") - k)
-        hit = at.join(marks_small.where(F.col("k") == k), "h").select(
-            "doc", "tid", "m", "k", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("ipos"), F.col("n") - F.col("m"))).alias("start"))
+        hit = at.join(marks_small.where(F.col("k") == k), "h").select("doc", "tid", "n", "m", "k", "pos", "ipos")
         found = hit if found is None else found.union(hit)
-    places = found.distinct().groupBy("doc", "tid").agg(F.collect_list(F.struct("start", "m", "k")).alias("places"))
+    places = _promising(found).groupBy("doc", "tid").agg(F.collect_list(F.struct("start", "m", "k")).alias("places"))
     places = written(places, "places").hint("shuffle_hash")
     both = rows.join(places, ["doc", "tid"]).dropDuplicates(["doc", "tid"])
     both = both.select("doc", "tid", "places", word_list(F.col("text")).alias("words"))
@@ -132,6 +132,34 @@ def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     return both.select("doc", "tid", F.explode(cut).alias("w")).select("doc", "tid", "w.*")
 
 
+def _promising(found: DataFrame) -> DataFrame:
+    """(doc, tid, m, k, start) of the windows that begin with a shared shingle
+    or align one, and hold as many shared places as similarity of 0.75 needs at
+    least.  Three kinds of events in order of place, (1) shared places, (0)
+    before and (2) at the last place of a window, give each window's number."""
+    n, m, k, pos = (F.col(c) for c in ("n", "m", "k", "pos"))
+    last = F.least(n, m) - k  # of a window's places, counted from its start
+    starts = [F.greatest(F.lit(0), F.least(p, n - m)) for p in (pos, pos - F.col("ipos"))]
+
+    def event(at, kind, start):
+        return F.struct(at.alias("at"), F.lit(kind).alias("kind"), start.alias("start"))
+
+    events = [event(pos, 1, F.lit(-1))] + [event(s + d, kind, s) for s in starts for d, kind in ((0, 0), (last, 2))]
+    rows = found.select("doc", "tid", "n", "m", "k", F.explode(F.array(*events)).alias("e")).select(
+        "doc", "tid", "n", "m", "k", "e.*").distinct()
+    key = ["doc", "tid", "n", "m", "k"]
+    so_far = Window.partitionBy(*key).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("seen", F.count_if(F.col("kind") == 1).over(so_far)).where("kind <> 1")
+    held = rows.groupBy(*key, "start").agg((F.max(F.when(F.col("kind") == 2, F.col("seen"))) -
+                                            F.max(F.when(F.col("kind") == 0, F.col("seen")))).alias("held"))
+    return held.where(_enough(F.col("held"), last + 1, m - k + 1)).select("doc", "tid", "m", "k", "start")
+
+
+def _enough(common: Column, n1: Column, n2: Column) -> Column:
+    """Whether lists of n1 and n2 shingles with ``common`` of both are similar."""
+    return common * (NUMERATOR + DENOMINATOR) >= (n1 + n2) * NUMERATOR
+
+
 def _weighted_overlap(a: str, b: str) -> Column:
     """Sum over the shingles of both lists of the smaller count."""
     def least(x):
@@ -144,7 +172,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, similarity, start, distance): for every document and
     item its best window, if that is similar enough."""
     items = items_of(benchmark)
-    found = written(fingerprints(windows(docs, items)), "windows")
+    found = fingerprints(windows(docs, items))
+    own = F.when(F.col("k") == SHINGLE, full_shingles("words", SHINGLE))
+    for k in range(1, SHINGLE):
+        own = own.when(F.col("k") == k, full_shingles("words", k))
+    found = written(found.select("doc", "tid", "m", "k", "start", "fp", own.alias("sw")), "windows")
     index = items.select("item_id", "m", F.col("fp").alias("ifp"), F.col("shingles").alias("si"),
                          F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
     keys = index.select("m", "ifp", "block", _block("ifp", F.col("block")).alias("at")).distinct() \
@@ -153,13 +185,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     asked = found.select("m", "fp").distinct().select("m", "fp", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
     asked = asked.withColumn("value", _block("fp", F.col("block")))
     close = asked.join(keys, ["m", "block", "value"]).select("m", "fp", "ifp").distinct()
-    close = close.withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp")))).where(F.col("distance") <= RADIUS)
+    close = close.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
+    close = close.withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))))
     pairs = found.join(close, ["m", "fp"]).join(items.select("item_id", "m", F.col("fp").alias("ifp"),
                                                             F.col("shingles").alias("si")), ["m", "ifp"])
-    own = F.when(F.col("k") == SHINGLE, full_shingles("words", SHINGLE))
-    for k in range(1, SHINGLE):
-        own = own.when(F.col("k") == k, full_shingles("words", k))
-    pairs = pairs.withColumn("sw", own).withColumn("low", _weighted_overlap("sw", "si"))
+    pairs = pairs.withColumn("low", _weighted_overlap("sw", "si"))
     pairs = pairs.withColumn("high", F.size("sw") + F.size("si") - F.col("low"))
     good = pairs.where((F.col("low") > 0) & (F.col("low") * DENOMINATOR >= F.col("high") * NUMERATOR))
     best = good.groupBy(F.col("doc").alias("doc_id"), "item_id").agg(

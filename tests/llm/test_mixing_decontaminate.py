@@ -111,3 +111,20 @@ def test_decontamination_cases(spark, frame, prose, clashing):
     assert left.columns == df.columns and sorted(str(r.doc_id) for r in left.collect()) == ["2", "3", "5", "None"]
     assert decontaminate.matches(df.limit(0), items).count() == 0
     assert decontaminate.matches(df, items.limit(0)).count() == 0
+
+
+def _turned(item, n):
+    ws = item.split()
+    return " ".join(ws[n:] + ws[:n])
+
+
+def test_moved_parts(spark, frame, prose):
+    """Items whose parts stand in another order."""
+    items = {i: prose(100, 700 + i) for i in range(4)} | {9: prose(30, 709)}
+    docs = {10 * i + j: prose(40 + 7 * j, 800 + i) + " " + _turned(items[i], n) + " " + prose(j * 9, 850 + j)
+            for i in range(4) for j, n in enumerate((15, 20, 30, 50))}
+    docs |= {90: _turned(items[9], 3), 91: prose(5, 1) + " " + items[9], 92: items[1] + " " + items[1] + " " + items[2][:200]}
+    want = helpers.leaks(docs, items)
+    assert {(0, 0), (11, 1), (22, 2), (33, 3)} <= want
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(frame(list(docs.items())), _items(spark, items)).collect()}
+    assert got == want
