@@ -18,7 +18,9 @@ one window.
 Scale: whole texts are cut into shingles inside the row; the benchmark's
 shingles are broadcast if they are few enough (BROADCAST_ROWS, checked), else
 joined by shuffle.  Shared shingles are counted by running sums in order of
-place.  Texts with a window to build are fetched once more.
+place.  Texts with a window to build are fetched once more and cut into
+overlapping blocks of BLOCK words, from which each window is sliced, so no row
+holds more than a block and a window.
 
 Defined cases: null and empty texts and items have no words and match nothing.
 Items of fewer than five words are one shingle of all their words.  Rows without
@@ -43,6 +45,7 @@ BITS, BLOCKS, NEAR = 64, 4, 3
 WIDTH = BITS // BLOCKS
 RADIUS = BLOCKS * (NEAR + 1) - 1
 BROADCAST_ROWS = 1_000_000  # benchmark shingles of 32 bytes: 32 MB at most
+BLOCK = 4096  # words from which on the windows of a block begin
 # Every 16-bit pattern of at most NEAR bits.
 MASKS = [sum(1 << b for b in bits) for n in range(NEAR + 1) for bits in combinations(range(WIDTH), n)]
 
@@ -122,14 +125,16 @@ def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
                            F.posexplode(shingle_hashes("words", k)).alias("pos", "h")).where(F.col("pos") <= F.col("n") - k)
         hit = at.join(marks_small.where(F.col("k") == k), "h").select("doc", "tid", "n", "m", "k", "pos", "ipos")
         found = hit if found is None else found.union(hit)
-    places = _promising(found).groupBy("doc", "tid").agg(F.collect_list(F.struct("start", "m", "k")).alias("places"))
-    places = written(places, "places").hint("shuffle_hash")
-    both = rows.join(places, ["doc", "tid"]).dropDuplicates(["doc", "tid"])
-    both = both.select("doc", "tid", "places", word_list(F.col("text")).alias("words"))
-    cut = F.transform("places", lambda p: F.struct(
-        p["start"].alias("start"), p["m"].alias("m"), p["k"].alias("k"),
-        F.slice(F.col("words"), p["start"] + 1, p["m"]).alias("words")))
-    return both.select("doc", "tid", F.explode(cut).alias("w")).select("doc", "tid", "w.*")
+    places = written(_promising(found), "places")
+    of = places.select("doc", "tid").distinct().hint("shuffle_hash")
+    both = rows.join(of, ["doc", "tid"]).dropDuplicates(["doc", "tid"]).select("doc", "tid", word_list(F.col("text")).alias("words"))
+    longest = places.agg(F.max("m")).first()[0] or 0
+    last = F.floor((F.size("words") - 1) / BLOCK).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(F.col("words"), b * BLOCK + 1, F.lit(BLOCK + longest)))
+    blocks = both.select("doc", "tid", F.posexplode(cut).alias("block", "words"))
+    places = places.withColumn("block", F.floor(F.col("start") / BLOCK).cast("int"))
+    return blocks.join(places, ["doc", "tid", "block"]).select(
+        "doc", "tid", "m", "k", "start", F.slice("words", F.col("start") % BLOCK + 1, F.col("m")).alias("words"))
 
 
 def _promising(found: DataFrame) -> DataFrame:

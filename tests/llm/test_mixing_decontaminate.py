@@ -118,8 +118,9 @@ def _turned(item, n):
     return " ".join(ws[n:] + ws[:n])
 
 
-def test_moved_parts(spark, frame, prose):
-    """Items whose parts stand in another order."""
+def test_moved_parts_and_blocks(spark, frame, prose, monkeypatch):
+    """Items whose parts stand in another order, in texts of several blocks."""
+    monkeypatch.setattr(decontaminate, "BLOCK", 16)
     items = {i: prose(100, 700 + i) for i in range(4)} | {9: prose(30, 709)}
     docs = {10 * i + j: prose(40 + 7 * j, 800 + i) + " " + _turned(items[i], n) + " " + prose(j * 9, 850 + j)
             for i in range(4) for j, n in enumerate((15, 20, 30, 50))}
