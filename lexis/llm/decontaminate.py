@@ -15,6 +15,10 @@ place in the item, are built if they hold enough shared shingles: similarity of
 0.75 needs 6 of 7 on average over both lists.  Documents shorter than an item are
 one window.
 
+Windows whose fingerprint is further away than the radius are looked up as well:
+a similar window lacks so few of its shingles that one of its first ones is the
+item's, so the items that have one of those are verified too.
+
 Scale: whole texts are cut into shingles inside the row; the benchmark's
 shingles are broadcast if they are few enough (BROADCAST_ROWS, checked), else
 joined by shuffle.  Shared shingles are counted by running sums in order of
@@ -173,6 +177,16 @@ def _weighted_overlap(a: str, b: str) -> Column:
     return F.aggregate(F.transform(F.array_intersect(a, b), least), F.lit(0), lambda s, x: s + x)
 
 
+def _sharing(found: DataFrame, items: DataFrame) -> DataFrame:
+    """(m, fp, ifp) of windows and items that share one of the window's first
+    shingles: more of them than a similar window can lack."""
+    n = F.size("sw")
+    lacks = n - F.ceil((n + F.col("m") - F.col("k") + 1) * NUMERATOR / (NUMERATOR + DENOMINATOR)).cast("int")
+    first = found.select("m", "fp", F.explode(F.slice("sw", F.lit(1), lacks + 1)).alias("h")).distinct()
+    theirs = items.select("m", F.col("fp").alias("ifp"), F.explode("shingles").alias("h")).distinct()
+    return first.join(theirs, ["m", "h"]).select("m", "fp", "ifp").distinct()
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, similarity, start, distance): for every document and
     item its best window, if that is similar enough."""
@@ -191,7 +205,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     asked = asked.withColumn("value", _block("fp", F.col("block")))
     close = asked.join(keys, ["m", "block", "value"]).select("m", "fp", "ifp").distinct()
     close = close.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
-    close = close.withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))))
+    close = close.union(_sharing(found, items)).distinct() \
+        .withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))))
     pairs = found.join(close, ["m", "fp"]).join(items.select("item_id", "m", F.col("fp").alias("ifp"),
                                                             F.col("shingles").alias("si")), ["m", "ifp"])
     pairs = pairs.withColumn("low", _weighted_overlap("sw", "si"))

@@ -129,3 +129,14 @@ def test_moved_parts_and_blocks(spark, frame, prose, monkeypatch):
     assert {(0, 0), (11, 1), (22, 2), (33, 3)} <= want
     got = {(r.doc_id, r.item_id) for r in decontaminate.matches(frame(list(docs.items())), _items(spark, items)).collect()}
     assert got == want
+
+
+def test_similar_windows_beyond_the_radius(spark, frame):
+    """Few different words, whose bits a handful of others turn over: similar
+    shingles, but a fingerprint far away."""
+    item = " ".join(f"w{i}" for i in range(60))
+    docs = {d: " ".join([f"w{i}" for i in range(52)] + [f"d{d}"] * 8) for d in range(40)}
+    want = helpers.leaks(docs, {1: item})
+    out = decontaminate.matches(frame(list(docs.items())), _items(spark, {1: item})).collect()
+    assert len(want) == 40 and {(r.doc_id, r.item_id) for r in out} == want
+    assert any(r.distance > decontaminate.RADIUS for r in out)
