@@ -131,3 +131,31 @@ def test_statistics_in_pieces(monkeypatch, prose):
     monkeypatch.setattr(quality.hashing, "SEGMENT", 128)
     assert np.allclose(whole, quality.features(column))
     assert np.isfinite(whole).all()
+
+
+def test_grams_of_one_slot_keep_their_ratios(spark, frame):
+    """A rare toxic gram in the slot of a frequent ordinary one, at 2^24 slots."""
+    rng = np.random.default_rng(3)
+    first = {}
+    while True:
+        word = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5))
+        g = int(toxicity.codes([word])[0][4])
+        other = first.setdefault(toxicity._slot(g), word)
+        if other != word:
+            break
+    rows = [(i, word if i % 8 == 0 else other) for i in range(300)]
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i in range(300)], LABELS)
+    model = toxicity.fit(frame(rows), labels)
+    got = toxicity.peak_ratios([word, other], toxicity._tables(model, -1))
+    assert got[0] > 0 > got[1]
+
+
+def test_same_scores_with_shared_slots(corpus):
+    """Few slots, further grams broadcast or joined: the same as one slot a gram."""
+    docs, labels = corpus
+    want = {r.doc_id: r.score for r in toxicity.classify(docs, labels).collect()}
+    for most in (1 << 20, 0):
+        model = toxicity.fit(docs, labels, slot_bits=8, broadcast_grams=most)
+        assert (model.rest is None) == (most > 0)
+        got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], abs_tol=1e-9) for i in want)
