@@ -128,3 +128,19 @@ def test_same_as_sql(spark):
     want = sorted(tuple(r) for r in rel.fetchall())
     df = chat.format_conversations(spark.read.parquet(f"{SF}/conversations.parquet")).select(rel.columns)
     assert sorted(tuple(r) for r in df.collect()) == want
+
+
+def test_small_leaves_are_not_the_end(spark, monkeypatch):
+    """Queries far from all others, in leaves with fewer than five candidates,
+    visit further leaves."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(600, 6)) * 0.02 + np.eye(6)[np.arange(600) % 3], -np.eye(6)])
+    ids = np.concatenate([np.arange(1, 601) * 50 + 1, np.arange(6) * 50])
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(neighbours, "calibrate", lambda *a, **b: 1)
+    tree = neighbours.Tree(neighbours._unit(x), fan=16, leaf=4)
+    monkeypatch.setattr(neighbours, "fit_tree", lambda units: tree)
+    got = {}
+    for r in neighbours.search(df).collect():
+        got.setdefault(r.query_id, []).append(r.rank)
+    assert {q: sorted(r) for q, r in got.items()} == {i * 50: [1, 2, 3, 4, 5] for i in range(6)}
