@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lexis.llm import (chat, decontaminate, line_dedup, mixing, near_dup, neighbours, quality, token_count, toxicity,
-                       url_filter)
+from lexis.llm import (align, chat, decontaminate, fingerprint, line_dedup, manifest, mixing, near_dup, neighbours, quality,
+                       token_count, toxicity, url_filter)
 from lexis.llm.common import read
 
 QUERIES: dict = {}
@@ -68,3 +68,18 @@ def nearest_neighbours(spark, sf_dir):
 @query("op10_chat_formatting", chat.ORACLE)
 def chat_formatting(spark, sf_dir):
     return chat.format_conversations(read(spark, sf_dir, "conversations"))
+
+
+@query("op11_document_fingerprints")
+def document_fingerprints(spark, sf_dir):
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest", manifest.ORACLE)
+def merkle_manifest(spark, sf_dir):
+    return manifest.manifest(read(spark, sf_dir, "documents"))
+
+
+@query("op13_tokenizer_alignment")
+def tokenizer_alignment(spark, sf_dir):
+    return align.alignments(read(spark, sf_dir, "documents"))
