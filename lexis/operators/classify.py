@@ -1,74 +1,76 @@
-"""Classifier suite (C1-C10) on Spark ML, plus SAMME AdaBoost.
+"""Classifier suite.
 
-Every estimator consumes a ``features`` vector column and a double ``label``
-column.  Linear models and Naive Bayes take the whole vocabulary; trees, boosting
-and the perceptron, whose cost grows with the width, take the same weights
-with every term folded into one of ``fold`` slots.
+Estimators take training rows with a double ``label`` and either sparse rows (``indices``,
+``weights``) or a ``features`` vector; fitted models add a double ``prediction``.
 
-Boosted presets stand in for the native gradient-boosting libraries:
-multi-class boosting is one-vs-rest over ``GBTClassifier``; at most PARALLEL
-binary models of a one-vs-rest estimator are trained at the same time.
+Every model but the perceptron takes the whole vocabulary.  Trees, forest, boosting,
+AdaBoost and the kernel machine work on sparse rows (``trees``, ``boost``, ``kernel``);
+the linear machine, Naive Bayes and the perceptron are Spark ML's and take vectors.  The
+perceptron's weights grow with the width times its hidden units in one vector on the
+driver, so the pipeline folds its terms into a number of slots.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexis.session import cut_lineage
+from lexis.operators.boost import AdaBoost, AdaBoostModel, Boosting
+from lexis.operators.kernel import KernelSvm, KernelSvmModel
+from lexis.operators.trees import Forest, TreeModel
 
 SUITE_ORDER = (
     "Random Forest", "Gradient Boosting", "AdaBoost", "Decision Tree",
-    "Support Vector Machine", "Naive Bayes", "Multilayer Perceptron",
+    "Support Vector Machine", "Linear Support Vector Machine", "Naive Bayes", "Multilayer Perceptron",
     "LightGBM-style boosting", "XGBoost-style boosting",
 )
-FOLDED = {"Random Forest", "Gradient Boosting", "AdaBoost", "Decision Tree",
-          "Multilayer Perceptron", "LightGBM-style boosting", "XGBoost-style boosting"}
-PARALLEL = 4
+# Models on sparse rows, with the class that loads them; the others take vectors.
+SPARSE = {"Random Forest": TreeModel, "Gradient Boosting": TreeModel, "Decision Tree": TreeModel,
+          "LightGBM-style boosting": TreeModel, "XGBoost-style boosting": TreeModel, "AdaBoost": AdaBoostModel,
+          "Support Vector Machine": KernelSvmModel}
+PARALLEL = 4  # binary models of a one-vs-rest estimator trained at the same time
 
 
 @dataclass
 class SuiteParams:
     seed: int = 42
     trees: int = 100
-    tree_depth: int = 30  # Spark's own maximum
+    tree_depth: int = 30
+    tree_bins: int = 32
     boost_rounds: int = 100
+    boost_bins: int = 255
+    leaf_rows: int = 20  # least rows of a leaf in leaf-wise boosting
     ada_rounds: int = 50
     svm_iter: int = 1000
     svm_c: float = 1.0
     svm_tol: float = 1e-3  # the usual stopping tolerance of a support vector machine
+    svm_dims: int = 1024  # random Fourier features of the kernel machine
     mlp_hidden: int = 100
     mlp_iter: int = 1000
-    fold: int = 2048
 
 
 def build_estimator(name: str, num_features: int, num_classes: int, p: SuiteParams,
                     num_rows: int | None = None):
-    """One unfitted estimator of the suite (AdaBoost is ``AdaBoost``).
-    ``num_rows`` (training rows) turns the SVM's C into Spark's
-    ``regParam = 1 / (C * n)``."""
-    from pyspark.ml.classification import (
-        DecisionTreeClassifier, GBTClassifier, LinearSVC, MultilayerPerceptronClassifier,
-        NaiveBayes, OneVsRest, RandomForestClassifier)
+    """One unfitted estimator of the suite.  ``num_rows`` (training rows)
+    turns the linear machine's C into Spark's ``regParam = 1 / (C * n)``."""
+    from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, NaiveBayes, OneVsRest
 
     if name == "Random Forest":
-        return RandomForestClassifier(numTrees=p.trees, featureSubsetStrategy="sqrt",
-                                      maxDepth=min(p.tree_depth, 30), impurity="gini", seed=p.seed)
+        return Forest(p.trees, p.tree_depth, num_classes, num_features, "sqrt", True, p.tree_bins, p.seed)
     if name == "Decision Tree":
-        return DecisionTreeClassifier(maxDepth=min(p.tree_depth, 30), impurity="gini", seed=p.seed)
+        return Forest(1, p.tree_depth, num_classes, num_features, "all", False, p.tree_bins, p.seed)
     if name == "Gradient Boosting":
-        return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.1,
-                                                  maxDepth=3, seed=p.seed), parallelism=min(num_classes, PARALLEL))
+        return Boosting("friedman", num_classes, p.boost_rounds, 0.1, depth=3, bins=p.boost_bins)
     if name == "LightGBM-style boosting":
-        return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.1,
-                                                  maxDepth=5, seed=p.seed), parallelism=min(num_classes, PARALLEL))
+        return Boosting("leaf-wise", num_classes, p.boost_rounds, 0.1, leaves=31, least_rows=p.leaf_rows,
+                        bins=p.boost_bins)
     if name == "XGBoost-style boosting":
-        return OneVsRest(classifier=GBTClassifier(maxIter=p.boost_rounds, stepSize=0.3,
-                                                  maxDepth=6, seed=p.seed), parallelism=min(num_classes, PARALLEL))
+        return Boosting("second-order", num_classes, p.boost_rounds, 0.3, depth=6, lam=1.0, bins=p.boost_bins)
     if name == "Support Vector Machine":
+        return KernelSvm(num_classes, num_features, p.svm_c, None, p.svm_dims, p.svm_iter, p.svm_tol, p.seed)
+    if name == "Linear Support Vector Machine":
         reg = 1.0 / (p.svm_c * num_rows) if num_rows else 0.0
         # no feature standardisation, as in a plain SVC on TF-IDF (and it
         # converges several times faster on sparse, L2-normalised rows)
@@ -81,116 +83,17 @@ def build_estimator(name: str, num_features: int, num_classes: int, p: SuitePara
         return MultilayerPerceptronClassifier(
             layers=[num_features, p.mlp_hidden, num_classes], maxIter=p.mlp_iter, seed=p.seed)
     if name == "AdaBoost":
-        return AdaBoost(rounds=p.ada_rounds, seed=p.seed, num_classes=num_classes)
+        return AdaBoost(p.ada_rounds, 1.0, num_classes, p.tree_bins)
     raise KeyError(f"unknown classifier {name!r}")
 
 
-# ---------------------------------------------------------------------------
-# SAMME AdaBoost with decision stumps
-# ---------------------------------------------------------------------------
-
-class AdaBoostModel:
-    """Fitted stumps with their stage weights, in order of the rounds."""
-
-    def __init__(self, stumps, alphas, num_classes):
-        self.stumps, self.alphas, self.num_classes = stumps, alphas, num_classes
-
-    def transform(self, df: DataFrame, out_col: str = "prediction") -> DataFrame:
-        """Vote: argmax over classes of the summed stage weights."""
-        from lexis.functions.text import argmax
-
-        k = self.num_classes
-        cur = df
-        cols = []
-        for i, m in enumerate(self.stumps):
-            col = f"_p{i}"
-            cur = m.setPredictionCol(col).setRawPredictionCol(f"_raw{i}") \
-                .setProbabilityCol(f"_prob{i}").transform(cur).drop(f"_raw{i}", f"_prob{i}")
-            cols.append(col)
-        votes = F.array(*[
-            sum((F.when(F.col(col).cast("int") == c, F.lit(a)).otherwise(F.lit(0.0))
-                 for col, a in zip(cols, self.alphas)), F.lit(0.0))
-            for c in range(k)])
-        out = cur.withColumn(out_col, argmax(votes).cast("double"))
-        return out.drop(*[f"_p{i}" for i in range(len(self.stumps))])
-
-    def save(self, path: str, spark) -> None:
-        """Each stump in a folder of its own; round, stage weight and number
-        of classes in one table."""
-        for i, stump in enumerate(self.stumps):
-            stump.write().overwrite().save(f"{path}/stump_{i:03d}")
-        rows = [(i, float(a), self.num_classes) for i, a in enumerate(self.alphas)]
-        spark.createDataFrame(rows, "round int, alpha double, classes int").write.mode("overwrite").parquet(f"{path}/rounds")
-
-    @classmethod
-    def load(cls, path: str, spark) -> "AdaBoostModel":
-        from pyspark.ml.classification import DecisionTreeClassificationModel
-
-        rows = spark.read.parquet(f"{path}/rounds").orderBy("round").collect()
-        stumps = [DecisionTreeClassificationModel.load(f"{path}/stump_{r['round']:03d}") for r in rows]
-        return cls(stumps, [r["alpha"] for r in rows], rows[0]["classes"])
-
-
-class AdaBoost:
-    """SAMME: stump on weighted rows; err = weighted error;
-    alpha = lr * (ln((1-err)/err) + ln(K-1)); misclassified rows' weights
-    grow by exp(alpha), weights renormalised; stop when err = 0 (the stump
-    is perfect and gets weight 1) or err >= 1 - 1/K.
-
-    The features are written once, dealt out by row id; a round writes the
-    narrow (id, weight) table only, dealt out alike, so that joining the two
-    moves nothing.  Both are reliable checkpoints in the shared folder.  One
-    aggregate per round gives the error and the next normalising total."""
-
-    def __init__(self, rounds: int = 50, learning_rate: float = 1.0, seed: int = 42,
-                 num_classes: int = 2):
-        self.rounds, self.lr, self.seed, self.k = rounds, learning_rate, seed, num_classes
-
-    def fit(self, df: DataFrame) -> AdaBoostModel:
-        from pyspark.ml.classification import DecisionTreeClassifier
-
-        k = self.k
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        base = cut_lineage(df.select("features", "label").withColumn("_row", F.monotonically_increasing_id())
-                           .repartition(parts, "_row"))
-        n = base.count()
-        cur = base.withColumn("_w", F.lit(1.0 / n))
-        stumps, alphas = [], []
-        for r in range(self.rounds):
-            stump = DecisionTreeClassifier(maxDepth=1, weightCol="_w", seed=self.seed + r,
-                                           predictionCol="_pred", rawPredictionCol="_rawp",
-                                           probabilityCol="_probp").fit(cur)
-            pred = stump.transform(cur).withColumn("_wrong", F.col("_pred") != F.col("label"))
-            agg = pred.agg(F.sum(F.when(F.col("_wrong"), F.col("_w")).otherwise(0.0)).alias("e"),
-                           F.sum("_w").alias("t")).first()
-            err = (agg["e"] or 0.0) / agg["t"]
-            if err <= 0.0:
-                stumps.append(stump)
-                alphas.append(1.0)
-                break
-            if err >= 1.0 - 1.0 / k:
-                if not stumps:
-                    stumps.append(stump)
-                    alphas.append(1.0)
-                break
-            alpha = self.lr * (math.log((1.0 - err) / err) + math.log(k - 1))
-            stumps.append(stump)
-            alphas.append(alpha)
-            # correct rows keep t - e of the total, wrong rows grow to e * exp(alpha)
-            total = agg["t"] + (agg["e"] or 0.0) * (math.exp(alpha) - 1.0)
-            grown = F.when(F.col("_wrong"), F.col("_w") * F.lit(math.exp(alpha))).otherwise(F.col("_w"))
-            weights = cut_lineage(pred.select("_row", (grown / F.lit(total)).alias("_w")))
-            cur = base.join(weights, "_row")
-        return AdaBoostModel(stumps, alphas, k)
-
-
 # ---------------------------------------------------------------------------
 # Train every model, score, accuracy
 # ---------------------------------------------------------------------------
 
 def fit_model(name: str, train: DataFrame, num_features: int, num_classes: int,
               params: SuiteParams | None = None):
-    rows = train.count() if name == "Support Vector Machine" else None
+    rows = train.count() if name == "Linear Support Vector Machine" else None
     est = build_estimator(name, num_features, num_classes, params or SuiteParams(), rows)
     return est.fit(train)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lexis.functions.text import WORD
 from lexis.operators.rows import dense_index, require_columns
-from lexis.session import cut_lineage
+from lexis.session import cut_lineage, scratch_path
 
 # Vectoriser token rule: maximal runs of at least two word characters.
 TERM_PATTERN = "[" + WORD + "]{2,}"
@@ -127,21 +127,67 @@ def sparse_rows(weights: DataFrame, id_col: str, keep=()) -> DataFrame:
     return rows.select(id_col, *keep, F.col("_t.term_index").alias("indices"), F.col("_t.weight").alias("weights"))
 
 
+def folded(rows: DataFrame, fold: int) -> DataFrame:
+    """Sparse rows with every term folded into one of ``fold`` slots (index
+    modulo fold); weights of a slot are added up.  An option for models that
+    cannot take the width; it mixes unrelated terms."""
+    keep = [c for c in rows.columns if c not in ("indices", "weights")]
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    parts = numbered.select("_row", *keep, F.inline_outer(F.arrays_zip("indices", "weights")))
+    sums = parts.groupBy("_row", *keep, F.pmod("indices", F.lit(fold)).alias("indices")).agg(F.sum("weights").alias("weights"))
+    pairs = F.sort_array(F.collect_list(F.when(F.col("indices").isNotNull(), F.struct("indices", "weights"))))
+    lists = sums.groupBy("_row", *keep).agg(pairs.alias("_t"))
+    return lists.select(*keep, F.col("_t.indices").alias("indices"), F.col("_t.weights").alias("weights"))
+
+
+# The stored form of an ML vector: type 0 sparse, 1 dense.
+VECTOR_FIELDS = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+
+
+def _as_vectors(rows: DataFrame, kept: list, value: Column, out_col: str) -> DataFrame:
+    """``value`` (VECTOR_FIELDS) as a column of ML vectors, without a Python worker:
+    written as a plain struct and read under the vector type's schema."""
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
+
+    path = scratch_path(rows.sparkSession, "vectors")
+    rows.select(*[f.name for f in kept], value.alias(out_col)).write.parquet(path)
+    return rows.sparkSession.read.schema(StructType([*kept, StructField(out_col, VectorUDT())])).parquet(path)
+
+
 def vectors(rows: DataFrame, width: int, fold: int | None = None, out_col: str = "features") -> DataFrame:
-    """ML vectors of sparse rows: of full ``width``, or with every term folded
-    into one of ``fold`` slots (index modulo fold) for models whose cost grows
-    with the width.  Folding adds weights up; no term is left out."""
-    from pyspark.ml.linalg import Vectors, VectorUDT
-
-    size = min(fold, width) if fold else width
-
-    @F.udf(VectorUDT())
-    def build(indices, weights):
-        if not fold or fold >= width:
-            return Vectors.sparse(size, indices or [], weights or [])
-        slots: dict = {}
-        for i, w in zip(indices or [], weights or []):
-            slots[i % size] = slots.get(i % size, 0.0) + w
-        return Vectors.sparse(size, slots)
-
-    return rows.withColumn(out_col, build("indices", "weights")).drop("indices", "weights")
+    """Sparse ML vectors of sparse rows: of full ``width``, or ``folded``."""
+    if fold and fold < width:
+        rows, width = folded(rows, fold), fold
+    none = F.array()
+    value = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(width).cast("int").alias("size"),
+                     F.coalesce(F.col("indices").cast("array<int>"), none.cast("array<int>")).alias("indices"),
+                     F.coalesce("weights", none.cast("array<double>")).alias("values"))
+    return _as_vectors(rows, [f for f in rows.schema.fields if f.name not in ("indices", "weights", out_col)], value, out_col)
+
+
+def dense_vectors(rows: DataFrame, values_col: str, out_col: str = "features") -> DataFrame:
+    """Dense ML vectors from a column of number arrays."""
+    value = F.struct(F.lit(1).cast("tinyint").alias("type"), F.lit(None).cast("int").alias("size"),
+                     F.lit(None).cast("array<int>").alias("indices"), F.col(values_col).cast("array<double>").alias("values"))
+    return _as_vectors(rows, [f for f in rows.schema.fields if f.name not in (values_col, out_col)], value, out_col)
+
+
+def as_sparse(rows: DataFrame) -> DataFrame:
+    """Rows with ``indices`` and ``weights``; a ``features`` vector is taken
+    apart by the way ``vectors`` made it."""
+    if "indices" in rows.columns:
+        return rows.withColumn("indices", F.coalesce(F.col("indices").cast("array<int>"), F.array().cast("array<int>"))) \
+            .withColumn("weights", F.coalesce(F.col("weights").cast("array<double>"), F.array().cast("array<double>")))
+    from pyspark.sql.types import StructField, StructType
+
+    struct = StructType.fromDDL(f"features {VECTOR_FIELDS}").fields[0].dataType
+    path = scratch_path(rows.sparkSession, "vectors")
+    rows.write.parquet(path)
+    fields = [StructField(f.name, struct if f.name == "features" else f.dataType) for f in rows.schema.fields]
+    plain = rows.sparkSession.read.schema(StructType(fields)).parquet(path)
+    v = F.col("features")
+    size = F.size(v["values"])
+    return plain.withColumn("indices", F.when(v["type"] == 0, v["indices"]).when(size > 0, F.sequence(F.lit(0), size - 1))
+                            .otherwise(F.array().cast("array<int>"))) \
+        .withColumn("weights", v["values"]).drop("features")

@@ -89,8 +89,9 @@ def lemma_rules(vocab: DataFrame, lexicon: DataFrame | None = None,
 
 def apply_lookup(tokens: DataFrame, table: DataFrame, key: str = "token",
                  value: str = "lemma") -> DataFrame:
-    """Replace each token by its looked-up value, identity on a miss."""
-    m = table.select(F.col(key).alias("token"), F.col(value).alias("_v"))
+    """Replace each token by its looked-up value, identity on a miss; of
+    several values of a token the smallest counts."""
+    m = table.groupBy(F.col(key).alias("token")).agg(F.min(value).alias("_v"))
     joined = tokens.join(m, "token", "left")
     return joined.withColumn("token", F.coalesce(F.col("_v"), F.col("token"))).drop("_v")
 
@@ -123,7 +124,7 @@ def _lemma_maps(rows: DataFrame, id_col: str, lemma_table: DataFrame | None, lex
     wanted = rows.select(id_col, F.explode(words).alias("token"))
     if lemma_table is None:
         lemma_table = lemma_rules(wanted, rows.select(F.explode("_tokens").alias("token")) if lexicon is None else lexicon)
-    lemma_table = lemma_table.toDF("token", "lemma").where("lemma <> token")
+    lemma_table = lemma_table.toDF("token", "lemma").groupBy("token").agg(F.min("lemma").alias("lemma")).where("lemma <> token")
     return wanted.join(lemma_table, "token").groupBy(id_col).agg(
         F.map_from_entries(F.collect_set(F.struct("token", "lemma"))).alias("_lemmas"))
 
@@ -148,15 +149,16 @@ def normalize_text(df: DataFrame, text_col: str, id_col: str, *,
     lemma -> stem -> stop words and empties again -> joined by spaces.
 
     Everything but the lemma is a column expression inside the row.  Lemmas come
-    from ``lemma_table`` (token, lemma), or from the noun rules over ``lexicon``
+    from ``lemma_table`` (token, lemma; the smallest of several), or from the noun rules over ``lexicon``
     (see ``fit_lexicon``; by default the words of ``df`` itself)."""
     require_columns(df, text_col, id_col)
     options = {"remove_stop": remove_stop, "min_token_length": min_token_length, "stopwords": stopwords}
     toks = F.col("_tokens")
     rows = df.withColumn("_tokens", token_array(F.col(text_col), **options)).drop(text_col)
     if lemmatize:
-        rows = written(rows, "tokens")  # read for its words and for the result
-        rows = rows.join(_lemma_maps(rows, id_col, lemma_table, lexicon), id_col, "left")
+        # read for its words and for the result; rows are told apart by a number of their own
+        rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "tokens")
+        rows = rows.join(_lemma_maps(rows, "_row", lemma_table, lexicon), "_row", "left").drop("_row")
         lemma = F.transform("_tokens", lambda t: F.coalesce(F.try_element_at("_lemmas", t), t))
         rows = rows.withColumn("_tokens", F.when(F.col("_lemmas").isNull(), toks).otherwise(lemma)).drop("_lemmas")
     if stem:

@@ -25,6 +25,8 @@ from lexis.sources.files import load_labeled_text
 
 # Arguments of normalize_text that also shape the lexicon.
 _TOKEN_OPTIONS = ("remove_stop", "min_token_length", "stopwords")
+# The perceptron keeps width x hidden weights in one vector on the driver.
+FOLD = {"Multilayer Perceptron": 2048}
 
 
 @dataclass
@@ -34,7 +36,7 @@ class TextFeatures:
 
     vocabulary: TF.TfidfModel
     width: int
-    fold: int
+    fold: dict  # {model: slots} of models that get folded terms
     normalizer: dict | None  # None: stage-1 cleaning only
     lexicon: DataFrame | None
 
@@ -48,16 +50,21 @@ class TextFeatures:
 
     def sparse(self, df: DataFrame, text_col: str, id_col: str, keep=()) -> DataFrame:
         """(id, keep..., indices, weights) of normalised texts; a text
-        without known terms has empty arrays."""
-        tf = TF.term_frequency(TF.terms(df, text_col, id_col), id_col)
-        rows = TF.sparse_rows(TF.transform(tf, self.vocabulary, id_col, index=True), id_col)
-        return df.select(id_col, *keep).join(rows, id_col, "left")
+        without known terms has empty arrays.  Rows are told apart by a number of their own,
+        so ids may be null or repeated."""
+        rows = cut_lineage(df.select(F.monotonically_increasing_id().alias("_row"), id_col, *keep, text_col))
+        tf = TF.term_frequency(TF.terms(rows, text_col, "_row"), "_row")
+        found = TF.sparse_rows(TF.transform(tf, self.vocabulary, "_row", index=True), "_row")
+        return rows.select("_row", id_col, *keep).join(found, "_row", "left").drop("_row")
 
     def vectors(self, rows: DataFrame, model_name: str) -> DataFrame:
-        return TF.vectors(rows, self.width, self.fold if model_name in C.FOLDED else None)
+        """What a model takes: sparse rows, or vectors."""
+        if model_name in self.fold:
+            rows = TF.folded(rows, self.input_width(model_name))
+        return rows if model_name in C.SPARSE else TF.vectors(rows, self.input_width(model_name))
 
     def input_width(self, model_name: str) -> int:
-        return min(self.width, self.fold) if model_name in C.FOLDED else self.width
+        return min(self.width, self.fold.get(model_name, self.width))
 
 
 @dataclass
@@ -67,6 +74,16 @@ class Prepared:
     labels: list
     features: TextFeatures
     id_col: str = "doc_id"
+    made: dict = field(default_factory=dict)
+
+    def inputs(self, model_name: str) -> tuple[DataFrame, DataFrame]:
+        """Train and test rows as a model takes them; models that take the
+        same share them."""
+        key = (model_name in C.SPARSE, self.features.fold.get(model_name))
+        if key not in self.made:
+            self.made[key] = (self.features.vectors(self.train.select("label", "indices", "weights"), model_name),
+                              self.features.vectors(self.test, model_name))
+        return self.made[key]
 
 
 @dataclass
@@ -82,9 +99,14 @@ class TextModel:
 def prepare_classification(df: DataFrame, text_col: str, label_col: str, id_col: str, *,
                            test_size: float = 0.25, seed: int = 42, normalize: bool = True,
                            normalizer: dict | None = None, min_df=2e-5, max_df=0.70, use_idf: bool = True,
-                           fold: int = C.SuiteParams.fold, drop_duplicates: bool = True) -> Prepared:
+                           fold: int | dict | None = None, drop_duplicates: bool = True) -> Prepared:
     """Steps of M1 up to the sparse features.  ``normalizer`` holds arguments
-    of ``normalize_text`` (stop words, lemmas, stems, least token length)."""
+    of ``normalize_text`` (stop words, lemmas, stems, least token length); ``fold`` the
+    number of slots of models that shall get folded terms (default: FOLD; a number: all
+    but the linear and kernel machines and Naive Bayes)."""
+    if isinstance(fold, int):
+        fold = {name: fold for name in C.SUITE_ORDER if "Support" not in name and name != "Naive Bayes"}
+    fold = dict(FOLD if fold is None else fold)
     loaded, labels = load_labeled_text(df.select(id_col, text_col, label_col), text_col, label_col,
                                        order_col=id_col, drop_duplicates=drop_duplicates,
                                        row_id=None)
@@ -111,8 +133,7 @@ def prepare_classification(df: DataFrame, text_col: str, label_col: str, id_col:
 
 def fit_and_predict(prep: Prepared, name: str, params: C.SuiteParams | None = None):
     """Fit one suite member on train, predict test.  Returns (model, preds)."""
-    train = prep.features.vectors(prep.train.select("label", "indices", "weights"), name)
-    test = prep.features.vectors(prep.test, name)
+    train, test = prep.inputs(name)
     model = C.fit_model(name, train, prep.features.input_width(name), len(prep.labels), params)
     pred = model.transform(test).select(prep.id_col, "label_id", F.col("prediction").cast("int").alias("prediction"))
     return model, pred
@@ -167,7 +188,7 @@ def save_models(models: dict, prep: Prepared, out_dir: str) -> dict:
     paths = {}
     for name, model in models.items():
         paths[name] = f"{out_dir}/{model_slug(name)}"
-        if isinstance(model, C.AdaBoostModel):
+        if name in C.SPARSE:
             model.save(paths[name], spark)
         else:
             from pyspark.ml import PipelineModel
@@ -186,8 +207,8 @@ def load_model(spark: SparkSession, out_dir: str, name: str) -> TextModel:
     lexicon = spark.read.parquet(f"{out_dir}/lexicon") if facts["lexicon"] else None
     features = TextFeatures(vocab, facts["width"], facts["fold"], options, lexicon)
     path = f"{out_dir}/{model_slug(name)}"
-    if name == "AdaBoost":
-        model = C.AdaBoostModel.load(path, spark)
+    if name in C.SPARSE:
+        model = C.SPARSE[name].load(path, spark)
     else:
         from pyspark.ml import PipelineModel
 
