@@ -43,6 +43,7 @@ class Friedman:
     """Statistics (g, |g| (1 - |g|), rows)."""
 
     counts = False
+    least_gain = 1e-12  # smaller ones are rounding errors
     least_rows = 1
 
     def __init__(self, classes: int):
@@ -71,6 +72,7 @@ class Newton:
     penalties lam and gamma and least rows and curvature of a leaf."""
 
     counts = False
+    least_gain = 1e-12  # smaller ones are rounding errors
 
     def __init__(self, lam: float, gamma: float, least_curvature: float, least_rows: int, scale: float):
         self.lam, self.gamma, self.least_curvature, self.least_rows = lam, gamma, least_curvature, least_rows

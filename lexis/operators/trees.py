@@ -31,6 +31,7 @@ from lexis.operators.tfidf import as_sparse
 from lexis.session import cut_lineage, ship_package
 
 FLUSH = 1 << 21  # cells a kernel holds before it hands them over
+PART_WEIGHTS = 1 << 18  # non-zero weights that make a partition of their own
 RETRIES = 3  # further classes of terms that a node without a split looks into
 
 
@@ -70,10 +71,11 @@ def cut_points(entries: DataFrame, bins: int) -> DataFrame:
 def binned(train: DataFrame, bins: int = 32, least_rows: int = 1) -> Binned:
     """Bins the sparse rows (label, indices, weights).  Terms in fewer than
     ``least_rows`` rows, which no split can use, are left out."""
-    spark = train.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = cut_lineage(as_sparse(train).select(
         F.monotonically_increasing_id().alias("row"), F.col("label").cast("int").alias("label"), "indices", "weights"))
+    held = base.agg(F.sum(F.size("indices"))).first()[0] or 0
+    # a pass is many short tasks on few rows: no more of them than there is work for
+    parts = min(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + held // PART_WEIGHTS)
     entries = base.select("row", F.inline(F.arrays_zip("indices", "weights"))).toDF("row", "term", "weight") \
         .where("weight <> 0")
     if least_rows > 1:
@@ -205,10 +207,9 @@ class Subset:
         return _mix(nodes, self.turn, self.seed + 1) % self.groups
 
 
-def sum_cells(data: Binned, state: DataFrame | None, look, nodes: Nodes, open_nodes: list, n_stats: int,
-              subset: Subset) -> DataFrame:
-    """One pass: (part, node, term, bin, stats) of the open nodes.  ``look(batch,
-    sparse, arrays)`` gives each row's node in every tree and its statistics there (rows x
+def sum_cells(data: Binned, look, nodes: Nodes, open_nodes: list, n_stats: int, subset: Subset):
+    """Kernel of a pass, and its schema: (part, node, term, bin, stats) of the open nodes.
+    ``look(batch, sparse, arrays)`` gives each row's node in every tree and its statistics there (rows x
     trees x n_stats).  The totals of nodes that have none yet are rows with term -1 in every part."""
     arrays, parts, bins = nodes.arrays(), data.parts, data.bins
     is_open = np.zeros(len(nodes.tree), bool)
@@ -232,6 +233,8 @@ def sum_cells(data: Binned, state: DataFrame | None, look, nodes: Nodes, open_no
             for i, f in enumerate(fresh):
                 totals[i] += stats[at[:, arrays["tree"][f]] == f, arrays["tree"][f]].sum(axis=0)
             term_class = subset.of_terms(sparse.terms) if subset.groups > 1 else None
+            # cells of the batch, numbered; a node's sums are then plain counts by cell
+            cells, cell_of = np.unique(sparse.terms * bins + sparse.values, return_inverse=True)
             keys, sums, held = [], [], 0
             for t in range(at.shape[1]):
                 node = at[:, t]
@@ -243,14 +246,27 @@ def sum_cells(data: Binned, state: DataFrame | None, look, nodes: Nodes, open_no
                     pick &= term_class == subset.of_nodes(node)[sparse.row_of]
                 pick = np.flatnonzero(pick)
                 row = sparse.row_of[pick]
-                keys.append((node[row] * sparse.width + sparse.terms[pick]) * bins + sparse.values[pick])
-                sums.append(stats[row, t])
-                held += len(pick)
+                here, place = np.unique(node[use], return_inverse=True)
+                of_row = np.zeros(len(node), np.int64)
+                of_row[use] = place
+                if len(here) * len(cells) <= max(FLUSH, 8 * len(pick)):
+                    at_cell = of_row[row] * len(cells) + cell_of[pick]
+                    found = np.flatnonzero(np.bincount(at_cell, minlength=1))
+                    added = np.stack([np.bincount(at_cell, stats[row, t, i])[found] for i in range(n_stats)], axis=1) \
+                        if len(found) else np.zeros((0, n_stats))
+                    n, c = np.divmod(found, len(cells) or 1)
+                    keys.append(here[n] * sparse.width * bins + cells[c])
+                    sums.append(added)
+                else:
+                    k, added = _add_up(node[row] * sparse.width * bins + cells[cell_of[pick]], stats[row, t])
+                    keys.append(k)
+                    sums.append(added)
+                held += len(keys[-1])
                 if held >= FLUSH:
-                    yield out(*_add_up(np.concatenate(keys), np.concatenate(sums)), sparse.width)
+                    yield out(np.concatenate(keys), np.concatenate(sums), sparse.width)
                     keys, sums, held = [], [], 0
             if held:
-                yield out(*_add_up(np.concatenate(keys), np.concatenate(sums)), sparse.width)
+                yield out(np.concatenate(keys), np.concatenate(sums), sparse.width)
         if fresh:
             part = np.repeat(np.arange(parts), len(fresh)).astype(np.int32)
             every = np.tile(totals, (parts, 1))
@@ -259,14 +275,12 @@ def sum_cells(data: Binned, state: DataFrame | None, look, nodes: Nodes, open_no
                  pa.array(np.full(len(part), -1, np.int32)), pa.array(np.zeros(len(part), np.int32))]
                 + [pa.array(every[:, i]) for i in range(n_stats)], ["part", "node", "term", "bin", *names])
 
-    rows = data.rows if state is None else data.rows.join(state, "row")
-    schema = "part int, node int, term int, bin int, " + ", ".join(f"{n} double" for n in names)
-    return rows.mapInArrow(run, schema)
+    return run, "part int, node int, term int, bin int, " + ", ".join(f"{n} double" for n in names)
 
 
-def best_splits(cells: DataFrame, data: Binned, nodes: Nodes, open_nodes: list, n_stats: int, score) -> dict:
-    """{node: (gain, term, cut, left statistics, total)} of the open nodes that
-    have a split; and the totals of fresh ones.  ``score(left, total)`` gives
+def best_splits(data: Binned, nodes: Nodes, open_nodes: list, n_stats: int, score):
+    """Kernel over all cells of its nodes and terms, and its schema: the best split of each
+    open node that has one, and the totals of fresh ones.  ``score(left, total)`` gives
     the gain of each candidate, -inf if it isn't allowed."""
     known = np.full((len(nodes.tree), n_stats), np.nan)
     for i in open_nodes:
@@ -283,11 +297,19 @@ def best_splits(cells: DataFrame, data: Binned, nodes: Nodes, open_nodes: list,
         before = upto - stats - np.repeat((upto - stats)[begin], size, axis=0)  # cells of the term below this one
         whole = np.repeat(np.add.reduceat(stats, begin, axis=0), size, axis=0)
         left = np.maximum(total - whole, 0) + before if score.counts else total - whole + before
-        cut = np.where(np.isin(np.arange(len(node)), begin), 0, np.concatenate([[0], bin_[:-1]]))
+        cut = np.concatenate([[0], bin_[:-1]])
+        cut[begin] = 0
         gain = score(left, total)
-        order = np.lexsort((cut, term, -gain, node))
-        first = order[np.concatenate([[True], node[order][1:] != node[order][:-1]])]
-        return first[np.isfinite(gain[first]) & (gain[first] > 0)], gain, cut, left
+        if not score.counts:  # sums of fractions: equal gains may differ in their last digits
+            digits, power = np.frexp(np.where(np.isfinite(gain), gain, -1.0))
+            gain = np.where(np.isfinite(gain), np.ldexp(np.round(digits * (1 << 32)), power - 32), -np.inf)
+        gain = np.where(np.isnan(gain), -np.inf, gain)
+        starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        most = np.repeat(np.maximum.reduceat(gain, starts), np.diff(np.concatenate([starts, [len(node)]])))
+        top = np.flatnonzero((gain == most) & np.isfinite(gain) & (gain > score.least_gain))
+        # terms and cuts ascend, so the first of equal gains is the smallest
+        first = top[np.concatenate([[True], node[top][1:] != node[top][:-1]])] if len(top) else top
+        return first, gain, cut, left
 
     def run(batches):
         batches = [b for b in batches if b.num_rows]
@@ -321,31 +343,34 @@ def best_splits(cells: DataFrame, data: Binned, nodes: Nodes, open_nodes: list,
                  pa.array(list(left), pa.list_(pa.float64())), pa.array(list(whole), pa.list_(pa.float64()))],
                 ["node", "gain", "less_term", "less_cut", "left", "total"])
 
-    found = cells.repartition(data.parts, "part").mapInArrow(
-        run, "node int, gain double, less_term int, less_cut int, left array<double>, total array<double>")
-    if len(open_nodes) * data.parts > 4096:  # one row per node and part is small; else one per node
-        found = found.groupBy("node").agg(F.max(F.struct("gain", "less_term", "less_cut", "left", "total")).alias("b")) \
-            .select("node", "b.*")
-    out: dict = {}
-    for r in found.collect():
-        rank = (r["gain"], r["less_term"], r["less_cut"])
-        if r["node"] not in out or rank > out[r["node"]][0]:
-            out[r["node"]] = (rank, np.array(r["left"]), np.array(r["total"]))
-    return out
+    return run, "node int, gain double, less_term int, less_cut int, left array<double>, total array<double>"
 
 
 def look_for_splits(data: Binned, state, look, nodes: Nodes, open_nodes: list, n_stats: int, score,
                     subset: Subset = Subset()) -> None:
     """One pass that fills ``best`` (and a root's ``total``) of the open nodes."""
-    cells = sum_cells(data, state, look, nodes, open_nodes, n_stats, subset)
-    found = best_splits(cells, data, nodes, open_nodes, n_stats, score)
+    rows = data.rows if state is None else data.rows.join(state, "row")
+    cells, cell_schema = sum_cells(data, look, nodes, open_nodes, n_stats, subset)
+    splits, split_schema = best_splits(data, nodes, open_nodes, n_stats, score)
+    if data.parts == 1:  # all sums of all nodes are in the one task
+        found = rows.mapInArrow(lambda batches: splits(cells(batches)), split_schema)
+    else:
+        found = rows.mapInArrow(cells, cell_schema).repartition(data.parts, "part").mapInArrow(splits, split_schema)
+    if len(open_nodes) * data.parts > 4096:  # one row per node and part is small; else one per node
+        found = found.groupBy("node").agg(F.max(F.struct("gain", "less_term", "less_cut", "left", "total")).alias("b")) \
+            .select("node", "b.*")
+    best: dict = {}
+    for r in found.collect():
+        rank = (r["gain"], r["less_term"], r["less_cut"])
+        if r["node"] not in best or rank > best[r["node"]][0]:
+            best[r["node"]] = (rank, np.array(r["left"]), np.array(r["total"]))
     for i in open_nodes:
         nodes.best[i] = None
-        if i in found:
-            (gain, less_term, less_cut), left, total = found[i]
+        if i in best:
+            (gain, less_term, less_cut), left, total = best[i]
             if nodes.total[i] is None:
                 nodes.total[i] = total
-            if less_term <= 0 and gain > 0:
+            if less_term <= 0 and gain > score.least_gain:
                 nodes.best[i] = (gain, -less_term, -less_cut, left)
 
 
@@ -354,6 +379,7 @@ class Gini:
     ``counted`` a last one holds the number of rows, for rows of unequal weight."""
 
     counts = True
+    least_gain = 0.0
 
     def __init__(self, counted: bool = False):
         self.counted = counted

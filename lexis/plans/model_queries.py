@@ -20,6 +20,11 @@ from lexis.session import scratch_path
 from lexis.sources.files import read_csv_table, write_csv_table
 
 
+# The queries boost for 20 rounds (the library's default is 100), because a round is several
+# passes one after another and the suite runs in three queries.
+PARAMS = C.SuiteParams(boost_rounds=20)
+
+
 def prepared(spark, sf_dir) -> PL.Prepared:
     return PL.prepare_classification(table(spark, sf_dir, "documents"), "text", "lang", "doc_id",
                                      test_size=TEST_SIZE, seed=SEED)
@@ -28,7 +33,7 @@ def prepared(spark, sf_dir) -> PL.Prepared:
 def _clf_query(key: str, name: str):
     @register(key)
     def q(spark, sf_dir):
-        return PL.fit_and_predict(prepared(spark, sf_dir), name)[1]
+        return PL.fit_and_predict(prepared(spark, sf_dir), name, PARAMS)[1]
 
     q.__doc__ = f"{name}: test-split predictions (doc_id, label_id, prediction)."
     return q
@@ -50,7 +55,7 @@ for _key, _name in (("clf_random_forest", "Random Forest"),
 @register("suite_ranking")
 def q_suite_ranking(spark, sf_dir):
     """All models, ranked by test accuracy (ties: suite order)."""
-    return PL.run_suite(prepared(spark, sf_dir))[0]
+    return PL.run_suite(prepared(spark, sf_dir), params=PARAMS)[0]
 
 
 @register("pipeline_ml")
@@ -58,7 +63,7 @@ def q_pipeline_ml(spark, sf_dir):
     """M1 end to end: the ranking, with the folder name under which each model
     was saved (S5)."""
     ranked = PL.run_pipeline(table(spark, sf_dir, "documents"), "text", "lang", "doc_id", test_size=TEST_SIZE, seed=SEED,
-                             out_dir=scratch_path(spark, "models"))
+                             params=PARAMS, out_dir=scratch_path(spark, "models"))
     from lexis.functions.text import slugify
 
     return ranked.withColumn("folder", slugify(F.col("model")))

@@ -116,6 +116,18 @@ def log_loss(model, rows):
 losses: dict = {}
 
 
+@pytest.mark.parametrize("kind", ["friedman", "leaf-wise", "second-order"])
+def test_several_partitions_give_the_same_trees(spark, rows, kind, monkeypatch):
+    def grown():
+        m = B.Boosting(kind, 3, rounds=3, rate=0.2, depth=3, leaves=6, least_rows=5).fit(rows)
+        return m.term.tolist(), m.threshold.tolist(), np.round(m.value, 9).tolist()
+
+    one = grown()
+    monkeypatch.setattr(T, "PART_WEIGHTS", 100)
+    monkeypatch.setattr(T, "FLUSH", 64)
+    assert grown() == one
+
+
 @pytest.mark.parametrize("kind", ["friedman", "leaf-wise", "second-order"])
 def test_log_loss_falls_in_every_round(spark, rows, kind):
     """Thirteen rounds, so that scores are written once in between."""
@@ -251,7 +263,7 @@ def test_kernel_machine_separates_two_rings(spark):
     from lexis.operators import kernel as K
 
     train, test = spark.createDataFrame(rings(300, 1), SPARSE), spark.createDataFrame(rings(200, 2), SPARSE)
-    p = C.SuiteParams(svm_dims=256, svm_iter=200)
+    p = C.SuiteParams(svm_dims=128, svm_iter=25)
     kernel = C.fit_model("Support Vector Machine", train, 2, 2, p)
     linear = C.fit_model("Linear Support Vector Machine", TF.vectors(train, 2), 2, 2, p)
     assert C.accuracy(kernel.transform(test)) > 0.97
