@@ -29,7 +29,7 @@ from lexis.operators.rows import dense_index
 from lexis.session import written
 
 FAN = 16
-BLOCK = 256 * FAN  # nodes of a window partition; a multiple of FAN, so that no run is cut
+BLOCK = 16 * FAN  # nodes of a window partition; a multiple of FAN, so that no run is cut
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<before: string, after: string>>"
 
