@@ -273,7 +273,7 @@ def test_kernel_machine_separates_two_rings(spark):
     assert kernel.gamma == pytest.approx(1 / (2 * variance))
     # three classes: pairs vote
     three = spark.createDataFrame([(i, float(i % 3), [i % 3], [1.0 + i % 5 / 10]) for i in range(60)], SPARSE)
-    model = K.KernelSvm(3, 3, dims=64).fit(three)
+    model = K.KernelSvm(3, 3, dims=64, max_iter=20).fit(three)
     assert model.pairs == [(0, 1), (0, 2), (1, 2)] and C.accuracy(model.transform(three)) == 1.0
 
 
