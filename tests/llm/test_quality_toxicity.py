@@ -1,4 +1,5 @@
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -78,51 +79,75 @@ def test_cholesky_density_equals_the_plain_formula():
     assert np.allclose(model.score(x), 1 / (1 + np.exp(-(plain[1] - plain[0] + 0.3))))
 
 
-def test_kneser_ney_by_hand(spark):
-    """Ratios equal a plain dictionary version on a tiny corpus."""
-    texts = [("abcab cabca", 1), ("bcabc abcab", 0), ("ccbba abacc", 0), ("abcab", 1)]
+def _beginnings(text):
+    """Per word the list of its beginnings, END included, up to ORDER symbols."""
+    return [[(w + "$")[:k] for k in range(1, min(len(w) + 1, toxicity.ORDER) + 1)]
+            for w in re.findall(r"[^\W\d_]+", (text or "").lower())]
+
+
+def _brute_force(rows):
+    """Evidence of a text, as a plain dictionary version of the model."""
     counts = {0: Counter(), 1: Counter()}
-    for t, y in texts:
-        counts[y].update(toxicity.codes([t])[0].tolist())
-    grams = sorted(set(counts[0]) | set(counts[1]))
-    rows = [(g, counts[1][g], counts[0][g]) for g in grams]
-    seen, _ = toxicity.log_ratios(spark.createDataFrame(rows, "g int, t bigint, o bigint"))
-    d = toxicity.DISCOUNT
-
-    def shared(g, order):
-        if order == 0:
-            return 1 / 64
-        types = set(grams)
-        for o in range(4, order - 1, -1):
-            longer, types = types, {x & ((1 << 6 * o) - 1) for x in types}
-        k = Counter(x & ((1 << 6 * order) - 1) for x in longer)
-        ctx = {x: n for x, n in k.items() if x >> 6 == g >> 6}
-        return (max(k[g] - d, 0) + d * len(ctx) * shared(g & ((1 << 6 * (order - 1)) - 1), order - 1)) / sum(ctx.values())
-
-    def prob(g, y):
-        ctx = {x: n for x, n in counts[y].items() if x >> 6 == g >> 6}
-        low = shared(g & ((1 << 24) - 1), 4)
-        if not ctx:
-            return low
-        n = sum(ctx.values())
-        return max(counts[y][g] - d, 0) / n + d * len(ctx) / n * low
-
-    for r in seen.collect():
-        assert math.isclose(r.llr, math.log(prob(r.g, 1) / prob(r.g, 0)), abs_tol=1e-9)
-
-
-def test_peak_window(prose):
-    rng = np.random.default_rng(1)
-    tables = (np.where(rng.random(1 << 24) < .3, np.nan, rng.normal(size=1 << 24)).astype(np.float16),
-              rng.normal(size=1 << 24).astype(np.float16))
-    texts = ["", "abc", "The loser, x!! wé went", "", "a" * 30, "  ", prose(50, 3), ""]
-    for t, got in zip(texts, toxicity.peak_ratios(texts, tables)):
-        code = toxicity.codes([t])[0]
-        v = [float(tables[0][toxicity._slot(int(g))]) for g in code]
-        v = [float(tables[1][int(g) >> 6]) if x != x else x for x, g in zip(v, code)]
-        w = toxicity.WINDOW
-        want = max(sum(v[i:i + w]) for i in range(len(v) - w + 1)) / w if len(v) >= w else sum(v) / w
-        assert abs(want - got) < 1e-6
+    for text, y in rows:
+        counts[y].update(x for w in _beginnings(text) for x in w)
+    seen = set(counts[0]) | set(counts[1])
+    d, types = toxicity.DISCOUNT, [Counter(("^^" + x)[-3:] for x in seen)]
+    for n in (2, 1):
+        types.append(Counter(x[-n:] for x in types[-1]))
+    types.reverse()
+
+    def shared(g):
+        if not g:
+            return 2.0 ** -toxicity.BITS
+        k = types[len(g) - 1]
+        like = {x: n for x, n in k.items() if x[:-1] == g[:-1]}
+        return (max(k[g] - d, 0) + d * len(like) * shared(g[1:])) / sum(like.values())
+
+    def prob(x, y):
+        like = {z: n for z, n in counts[y].items() if z[:-1] == x[:-1]}
+        low, n = shared(("^^" + x)[-3:]), sum(like.values())
+        return (max(counts[y][x] - d, 0) + d * len(like) * low) / n if n else low
+
+    ratio = {x: math.log(prob(x, 1) / prob(x, 0)) for x in seen}
+
+    def evidence(text):
+        ws = _beginnings(text)
+        return sum(max(0, sum(ratio.get(x, 0) for x in w) - toxicity.MARGIN) for w in ws) / (len(ws) + toxicity.LENGTH)
+
+    return evidence
+
+
+def test_ratios_equal_brute_force(spark, prose):
+    """Counts, model, the table of changes and the texts' ratios, end to end."""
+    rows = [(prose(30, i) + (" grunfel Grunfeling kabo" if i % 3 == 0 else " grunt, \u00e9t\u00e9"), int(i % 3 == 0)) for i in range(24)]
+    rows += [("\u0431\u0440\u0430\u043d\u044c x", 1), ("", 0)]
+    grams = spark.createDataFrame(rows, "text string, y int").mapInArrow(
+        toxicity._count, "g bigint, c bigint, s bigint, k int, t bigint, o bigint").groupBy("g").agg(
+        F.min("c").alias("c"), F.min("s").alias("s"), F.min("k").alias("k"), F.sum("t").alias("t"), F.sum("o").alias("o"))
+    table = toxicity.evidence(grams).orderBy("g").toPandas()
+    want = _brute_force(rows)
+    texts = [t for t, _ in rows] + ["grunfelster grunfe", "never seen", "\u0431\u0440\u0430\u043d", "grunfel" * 9]
+    got = toxicity.text_ratios(texts, table.g.to_numpy(), table.v.to_numpy())
+    assert len(table) < grams.count() and max(got) > 0.05
+    assert np.allclose(got, [want(t) for t in texts], atol=1e-5)
+
+
+def test_pieces_equal_the_whole(monkeypatch, prose):
+    """Words at the seams of pieces count once, with their whole beginnings."""
+    texts = [prose(80, 1), "", "x" * 70, "\u6bd2\u8349 ab\u6bd2\u8349c " * 9, "a \U0001D400\U00020000 b"]
+
+    def words(group_list):
+        found = Counter()
+        for group in group_list:
+            of, size, _, h = toxicity.beginnings(group)
+            found.update((int(o), tuple(r[:n])) for o, n, r in zip(of, size, h.tolist()))
+        return found
+
+    whole = words(toxicity._pieces(texts))
+    for n in (1, 7, 64):
+        monkeypatch.setattr(toxicity, "_PIECE", n)
+        assert words(toxicity._pieces(texts)) == whole
+    assert sum(whole.values()) == 80 + 1 + 9 * 6 + 3
 
 
 def test_statistics_in_pieces(monkeypatch, prose):
@@ -133,29 +158,25 @@ def test_statistics_in_pieces(monkeypatch, prose):
     assert np.isfinite(whole).all()
 
 
-def test_grams_of_one_slot_keep_their_ratios(spark, frame):
-    """A rare toxic gram in the slot of a frequent ordinary one, at 2^24 slots."""
-    rng = np.random.default_rng(3)
-    first = {}
-    while True:
-        word = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5))
-        g = int(toxicity.codes([word])[0][4])
-        other = first.setdefault(toxicity._slot(g), word)
-        if other != word:
-            break
-    rows = [(i, word if i % 8 == 0 else other) for i in range(300)]
-    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i in range(300)], LABELS)
-    model = toxicity.fit(frame(rows), labels)
-    got = toxicity.peak_ratios([word, other], toxicity._tables(model, -1))
-    assert got[0] > 0 > got[1]
-
-
-def test_same_scores_with_shared_slots(corpus):
-    """Few slots, further grams broadcast or joined: the same as one slot a gram."""
+def test_same_scores_with_a_joined_model(corpus):
+    """The model joined with the texts' beginnings instead of broadcast."""
     docs, labels = corpus
     want = {r.doc_id: r.score for r in toxicity.classify(docs, labels).collect()}
-    for most in (1 << 20, 0):
-        model = toxicity.fit(docs, labels, slot_bits=8, broadcast_grams=most)
-        assert (model.rest is None) == (most > 0)
-        got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
-        assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], abs_tol=1e-9) for i in want)
+    model = toxicity.fit(docs, labels, broadcast_grams=0)
+    assert model.rest is not None
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], abs_tol=1e-9) for i in want)
+
+
+def test_toxic_documents_are_found_in_every_language(spark):
+    """Held-out recall and precision on the labels of the tables."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.score(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), model)
+    held = rows.where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    n = Counter((r.lang, r.toxic, r.predicted) for r in held.select("lang", "toxic", "predicted").collect())
+    hit, miss, false = (sum(v for k, v in n.items() if k[1:] == kind) for kind in ((1, 1), (1, 0), (0, 1)))
+    assert hit >= 0.9 * (hit + miss) and hit >= 0.9 * (hit + false)
+    for lang in {k[0] for k in n}:
+        assert n[lang, 1, 1] >= 0.8 * (n[lang, 1, 1] + n[lang, 1, 0])
