@@ -147,7 +147,7 @@ def test_pieces_equal_the_whole(monkeypatch, prose):
     for n in (1, 7, 64):
         monkeypatch.setattr(toxicity, "_PIECE", n)
         assert words(toxicity._pieces(texts)) == whole
-    assert sum(whole.values()) == 80 + 1 + 9 * 6 + 3
+    assert sum(whole.values()) == 80 + 1 + 9 * 6 + 4
 
 
 def test_statistics_in_pieces(monkeypatch, prose):
