@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,31 +66,53 @@ def dataset_overview(df: DataFrame, text_col: str) -> DataFrame:
     )
 
 
+def _distinct_key(f) -> Column:
+    """Binary key of a column's value, equal for equal values and null for null."""
+    c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
+    if kind == "string":
+        return text_digest(c)
+    if kind == "binary":
+        return F.unhex(F.sha2(c, 256))
+    if kind in ("float", "double"):
+        c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # both zeros are one value
+    elif kind == "timestamp":
+        c = F.unix_micros(c)  # as text, two instants of an hour that clocks repeat would be one
+    elif kind.startswith(("array", "struct", "map")):
+        c = F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"}))
+    return c.cast("string").cast("binary")
+
+
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """A5: per column: dtype (Spark type name), missing, missing_pct
     (2 dp), unique (non-null distinct values).
 
-    Exact distincts of several columns in one aggregate make Catalyst
-    expand every row once per column; for very wide or huge tables pass
-    ``approx=True`` (HyperLogLog++, no expansion)."""
+    Distinct values are (column, key) rows, combined before the shuffle, so that
+    a row costs one key per column and a column of many repeats shuffles few
+    rows; long texts are keyed by digest.  ``approx=True`` estimates them in the
+    pass that counts the missing values (HyperLogLog++)."""
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        key = text_digest(c) if f.dataType.simpleString() == "string" else c
-        distinct = F.approx_count_distinct(key) if approx else F.count_distinct(key)
-        aggs += [F.count_if(_is_missing(f)).alias(f"_m{i}"), distinct.alias(f"_u{i}")]
-    wide = df.agg(*aggs)
+        aggs.append(F.count_if(_is_missing(f)).alias(f"_m{i}"))
+        if approx:
+            key = F.col(f"`{f.name}`")
+            aggs.append(F.approx_count_distinct(text_digest(key) if f.dataType.simpleString() == "string" else key).alias(f"_u{i}"))
     rows = F.explode(F.array(*[
         F.struct(
+            F.lit(i).alias("i"),
             F.lit(f.name).alias("column"),
             F.lit(f.dataType.simpleString()).alias("dtype"),
             F.col(f"_m{i}").cast("bigint").alias("missing"),
-            F.col(f"_u{i}").cast("bigint").alias("unique"),
+            (F.col(f"_u{i}") if approx else F.lit(None)).cast("bigint").alias("unique"),
         )
         for i, f in enumerate(fields)
     ])).alias("r")
-    out = wide.select("_n", rows).select("_n", "r.*")
+    out = df.agg(*aggs).select("_n", rows).select("_n", "r.*")
+    if not approx:
+        keys = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _distinct_key(f).alias("key")) for i, f in enumerate(fields)]))
+        distinct = df.select(keys.alias("r")).select("r.*").where(F.col("key").isNotNull()).distinct()
+        counts = distinct.groupBy("i").agg(F.count(F.lit(1)).alias("_unique"))
+        out = out.join(counts, "i", "left").withColumn("unique", F.coalesce("_unique", F.lit(0)).cast("bigint"))
     return out.select(
         "column", "dtype", "missing",
         F.bround(F.try_divide(F.col("missing") * F.lit(100.0), F.col("_n")), 2).alias("missing_pct"),

@@ -36,3 +36,18 @@ def test_text_lengths(spark, sample_frame):
 def test_unknown_column(spark, sample_frame):
     with pytest.raises(KeyError):
         summarize_dataset(sample_frame, "nope", "Sentiment")
+
+
+def test_distinct_values_of_any_type(spark):
+    df = spark.sql("""select * from values
+        (1, 0.0D, 'a', true, array(1, null), cast('2024-01-01' as date), X'00ff', timestamp_seconds(0), 1.50),
+        (2, -0.0D, 'a', true, array(1, null), cast('2024-01-01' as date), X'00fe', timestamp_seconds(0.000001), 1.50),
+        (3, 1.5D, '', null, array(1), null, X'00ff', timestamp_seconds(0), 2.50),
+        (null, null, null, null, null, null, null, null, null)
+        as t(i, d, s, b, a, day, x, ts, n)""")
+    profile = column_profile(df)
+    rows = {r["column"]: (r["missing"], r["unique"]) for r in profile.collect()}
+    assert rows == {"i": (1, 3), "d": (1, 2), "s": (1, 2), "b": (2, 1), "a": (1, 2), "day": (2, 1), "x": (1, 2),
+                    "ts": (1, 2), "n": (1, 2)}
+    assert "Expand" not in profile._jdf.queryExecution().executedPlan().toString()
+    assert {r["unique"] for r in column_profile(df.limit(0)).collect()} == {0}
