@@ -42,6 +42,26 @@ def test_recall_and_scores(spark):
     assert found >= 0.9 * 5 * len(want)
 
 
+
+def test_vectors_of_several_lengths(spark):
+    """Each is searched among those of its length, as all pairs of it say."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4 if i % 3 else 7).tolist()) for i in range(240)] + [(300, [1.0, 2.0])]
+    got = {}
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), recall=1.0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    vectors = {i: np.array(v) for i, v in rows}
+    assert sorted(got) == [0, 50, 100, 150, 200]  # 300 has no other of its length
+    found = wanted = 0
+    for q, mine in got.items():
+        like = {i: v @ vectors[q] / np.linalg.norm(v) / np.linalg.norm(vectors[q])
+                for i, v in vectors.items() if len(v) == len(vectors[q]) and i != q}
+        assert sorted(mine) == [1, 2, 3, 4, 5] and all(abs(like[i] - s) < 1e-12 for i, s in mine.values())
+        best = set(sorted(like, key=lambda i: (-like[i], i))[:5])
+        found, wanted = found + len(best & {i for i, _ in mine.values()}), wanted + 5
+    assert found >= 0.9 * wanted
+
+
 def test_tree_visits_all_leaves_in_order():
     rng = np.random.default_rng(2)
     x = neighbours._unit(rng.normal(size=(600, 8)))
