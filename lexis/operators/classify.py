@@ -3,11 +3,9 @@
 Estimators take training rows with a double ``label`` and either sparse rows (``indices``,
 ``weights``) or a ``features`` vector; fitted models add a double ``prediction``.
 
-Every model but the perceptron takes the whole vocabulary.  Trees, forest, boosting,
-AdaBoost and the kernel machine work on sparse rows (``trees``, ``boost``, ``kernel``);
-the linear machine, Naive Bayes and the perceptron are Spark ML's and take vectors.  The
-perceptron's weights grow with the width times its hidden units in one vector on the
-driver, so the pipeline folds its terms into a number of slots.
+Every model takes the whole vocabulary.  Trees, forest, boosting, AdaBoost, the kernel
+machine and the perceptron work on sparse rows (``trees``, ``boost``, ``kernel``,
+``perceptron``); the linear machine and Naive Bayes are Spark ML's and take vectors.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lexis.operators.boost import AdaBoost, AdaBoostModel, Boosting
 from lexis.operators.kernel import KernelSvm, KernelSvmModel
+from lexis.operators.perceptron import Perceptron, PerceptronModel
 from lexis.operators.trees import Forest, TreeModel
 
 SUITE_ORDER = (
@@ -29,7 +28,7 @@ SUITE_ORDER = (
 # Models on sparse rows, with the class that loads them; the others take vectors.
 SPARSE = {"Random Forest": TreeModel, "Gradient Boosting": TreeModel, "Decision Tree": TreeModel,
           "LightGBM-style boosting": TreeModel, "XGBoost-style boosting": TreeModel, "AdaBoost": AdaBoostModel,
-          "Support Vector Machine": KernelSvmModel}
+          "Support Vector Machine": KernelSvmModel, "Multilayer Perceptron": PerceptronModel}
 PARALLEL = 4  # binary models of a one-vs-rest estimator trained at the same time
 
 
@@ -48,14 +47,15 @@ class SuiteParams:
     svm_tol: float = 1e-3  # the usual stopping tolerance of a support vector machine
     svm_dims: int = 1024  # random Fourier features of the kernel machine
     mlp_hidden: int = 100
-    mlp_iter: int = 1000
+    mlp_iter: int = 1000  # most steps; training ends when the loss falls no more
+    mlp_rate: float = 0.02
 
 
 def build_estimator(name: str, num_features: int, num_classes: int, p: SuiteParams,
                     num_rows: int | None = None):
     """One unfitted estimator of the suite.  ``num_rows`` (training rows)
     turns the linear machine's C into Spark's ``regParam = 1 / (C * n)``."""
-    from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, NaiveBayes, OneVsRest
+    from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest
 
     if name == "Random Forest":
         return Forest(p.trees, p.tree_depth, num_classes, num_features, "sqrt", True, p.tree_bins, p.seed)
@@ -80,8 +80,7 @@ def build_estimator(name: str, num_features: int, num_classes: int, p: SuitePara
     if name == "Naive Bayes":
         return NaiveBayes(smoothing=1.0, modelType="multinomial")
     if name == "Multilayer Perceptron":
-        return MultilayerPerceptronClassifier(
-            layers=[num_features, p.mlp_hidden, num_classes], maxIter=p.mlp_iter, seed=p.seed)
+        return Perceptron(num_classes, num_features, p.mlp_hidden, p.mlp_iter, p.mlp_rate, seed=p.seed)
     if name == "AdaBoost":
         return AdaBoost(p.ada_rounds, 1.0, num_classes, p.tree_bins)
     raise KeyError(f"unknown classifier {name!r}")

@@ -25,8 +25,6 @@ from lexis.sources.files import load_labeled_text
 
 # Arguments of normalize_text that also shape the lexicon.
 _TOKEN_OPTIONS = ("remove_stop", "min_token_length", "stopwords")
-# The perceptron keeps width x hidden weights in one vector on the driver.
-FOLD = {"Multilayer Perceptron": 2048}
 
 
 @dataclass
@@ -102,11 +100,11 @@ def prepare_classification(df: DataFrame, text_col: str, label_col: str, id_col:
                            fold: int | dict | None = None, drop_duplicates: bool = True) -> Prepared:
     """Steps of M1 up to the sparse features.  ``normalizer`` holds arguments
     of ``normalize_text`` (stop words, lemmas, stems, least token length); ``fold`` the
-    number of slots of models that shall get folded terms (default: FOLD; a number: all
+    number of slots of models that shall get folded terms (default: none; a number: all
     but the linear and kernel machines and Naive Bayes)."""
     if isinstance(fold, int):
         fold = {name: fold for name in C.SUITE_ORDER if "Support" not in name and name != "Naive Bayes"}
-    fold = dict(FOLD if fold is None else fold)
+    fold = dict(fold or {})
     loaded, labels = load_labeled_text(df.select(id_col, text_col, label_col), text_col, label_col,
                                        order_col=id_col, drop_duplicates=drop_duplicates,
                                        row_id=None)
