@@ -58,15 +58,20 @@ class Weights:
         return self.w1, self.b1, self.w2, self.b2
 
 
-def hidden(rows: Batch, w: Weights) -> np.ndarray:
-    """Activations of the rectified units, rows x units."""
-    out = np.tile(w.b1, (rows.n, 1))
+def products(rows, matrix: np.ndarray) -> np.ndarray:
+    """Sparse rows (n, row_of in order, terms, values) times a width x k matrix."""
+    out = np.zeros((rows.n, matrix.shape[1]))
     for a in range(0, len(rows.terms), CELLS):
         part = slice(a, a + CELLS)
         of = rows.row_of[part]
         begin = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-        out[of[begin]] += np.add.reduceat(w.w1[rows.terms[part]] * rows.values[part][:, None], begin, axis=0)
-    return np.maximum(out, 0.0)
+        out[of[begin]] += np.add.reduceat(matrix[rows.terms[part]] * rows.values[part][:, None], begin, axis=0)
+    return out
+
+
+def hidden(rows, w: Weights) -> np.ndarray:
+    """Activations of the rectified units, rows x units."""
+    return np.maximum(products(rows, w.w1) + w.b1, 0.0)
 
 
 def probabilities(h: np.ndarray, w: Weights) -> np.ndarray:
