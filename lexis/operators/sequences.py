@@ -6,19 +6,26 @@ Q1 is word level: the vocabulary is the corpus' words by frequency
 words, wrapped in begin/end and padded to exactly ``max_length``; the
 attention mask is 1 for real positions.
 
-Only the first ``max_length - 2`` tokens of a document are grouped, so a
-document's group is bounded by ``max_length`` whatever its length.
+A vocabulary of at most BROADCAST_WORDS words is broadcast and the first
+``max_length - 2`` tokens of a text are looked up in its row, without a shuffle;
+a larger one is joined by shuffle and the tokens are grouped again, in groups
+bounded by ``max_length``.  Both give the same rows; ids may be null or repeated.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lexis.functions.text import whitespace_tokens
 from lexis.operators.rows import dense_index, require_columns
-from lexis.session import cut_lineage
+from lexis.session import cut_lineage, ship_package
 
+BROADCAST_WORDS = 1 << 20
 BEGIN, PAD, END, UNKNOWN, FIRST_WORD = 0, 1, 2, 3, 4
 
 
@@ -40,25 +47,53 @@ def build_vocabulary(tokens: DataFrame, vocab_size: int | None = None) -> DataFr
     return ranked.select("token", (F.col("_rank") + FIRST_WORD).cast("int").alias("token_id"))
 
 
+def _ids_in_rows(rows: DataFrame, vocab: pa.Table) -> DataFrame:
+    """``_tokens`` replaced by ``_ids``, looked up in the broadcast vocabulary."""
+    ship_package(rows.sparkSession)
+    words = vocab.column("token").combine_chunks()
+    shared = rows.sparkSession.sparkContext.broadcast((words, vocab.column("token_id").to_numpy().astype(np.int32)))
+    kept = [f for f in rows.schema.fields if f.name != "_tokens"]
+
+    def run(batches):
+        words, numbers = shared.value
+        numbers = np.append(numbers, np.int32(UNKNOWN))
+        for batch in batches:
+            lists = batch.column("_tokens")
+            at = pc.index_in(lists.flatten(), value_set=words).fill_null(len(words)).to_numpy()
+            offsets = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]
+            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(numbers[at]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), ids], [*(f.name for f in kept), "_ids"])
+
+    return rows.mapInArrow(run, StructType([*kept, StructField("_ids", ArrayType(IntegerType()))]))
+
+
+def _ids_by_join(rows: DataFrame, vocab: DataFrame) -> DataFrame:
+    """The same by a join on the words; rows are told apart by a number of
+    their own."""
+    rows = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()))
+    ids = rows.select("_row", F.posexplode("_tokens").alias("pos", "token")).join(vocab, "token", "left").select(
+        "_row", "pos", F.coalesce(F.col("token_id"), F.lit(UNKNOWN)).alias("wid"))
+    grouped = ids.groupBy("_row").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "wid"))), lambda x: x["wid"]).alias("_ids"))
+    return rows.drop("_tokens").join(grouped, "_row", "left").drop("_row")
+
+
 def encode_sequences(df: DataFrame, text_col: str, id_col: str, vocab: DataFrame,
                      max_length: int = 128, keep=()) -> DataFrame:
     """Q1: add ``input_ids`` and ``attention_mask`` (array<int>, length
     ``max_length``); drops the text (P2), keeps ``id_col`` and ``keep``."""
     if max_length < 2:
         raise ValueError("max_length must be >= 2")
-    body = max_length - 2
-    toks = positioned_tokens(df, text_col, id_col).where(F.col("pos") < body)
-    ids = toks.join(vocab, "token", "left").select(
-        id_col, "pos", F.coalesce(F.col("token_id"), F.lit(UNKNOWN)).alias("wid"))
-    grouped = ids.groupBy(id_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "wid"))), lambda x: x["wid"])
-        .alias("_ids"))
-    base = df.select(id_col, *keep).join(grouped, id_col, "left")
+    require_columns(df, text_col, id_col, *keep)
+    tokens = F.slice(whitespace_tokens(F.coalesce(F.col(text_col), F.lit(""))), 1, max_length - 2)
+    rows = df.select(id_col, *keep, tokens.alias("_tokens"))
+    small = vocab.select("token", "token_id").limit(BROADCAST_WORDS + 1).toArrow()
+    rows = _ids_in_rows(rows, small) if small.num_rows <= BROADCAST_WORDS else _ids_by_join(rows, vocab)
     seq = F.concat(F.array(F.lit(BEGIN)), F.coalesce(F.col("_ids"), F.array().cast("array<int>")),
                    F.array(F.lit(END)))
     n = F.size(seq)
     pad = F.lit(max_length) - n
-    return base.select(
+    return rows.select(
         id_col, *keep,
         F.concat(seq, F.array_repeat(F.lit(PAD), pad)).alias("input_ids"),
         F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
