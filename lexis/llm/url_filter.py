@@ -70,11 +70,8 @@ def lexical(rows: DataFrame) -> DataFrame:
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     rows = rows.withColumn("_suffix", F.element_at(labels, -1)) \
         .withColumn("_domain", F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), "."))
-    total = F.lit(float(max(1, rows.count())))
-    for key in ("_suffix", "_domain"):
-        counts = rows.groupBy(key).agg((F.count(F.lit(1)) / total).alias(key[1:] + "_share"))
-        rows = rows.join(counts, key)
-    return rows.withColumns({
+    # made in the tasks that read the urls, so that the joins move numbers only
+    rows = rows.withColumns({
         "url_length": F.length(url), "host_length": F.length("host"), "path_length": F.length("path"),
         "depth": F.regexp_count("path", F.lit("/")), "labels": F.size(labels),
         "longest_label": F.array_max(F.transform(labels, lambda x: F.length(x))),
@@ -82,7 +79,12 @@ def lexical(rows: DataFrame) -> DataFrame:
         "hyphens": F.regexp_count("host", F.lit("-")), "entropy": _entropy(url),
         "params": F.regexp_count(query, F.lit("[^&]+")), "query_length": F.length(query),
         "suffix_length": F.length("_suffix"),
-    }).drop("_suffix", "_domain")
+    })
+    total = F.lit(float(max(1, rows.count())))
+    for key in ("_suffix", "_domain"):
+        counts = rows.groupBy(key).agg((F.count(F.lit(1)) / total).alias(key[1:] + "_share"))
+        rows = rows.join(counts, key)
+    return rows.drop("_suffix", "_domain")
 
 
 def judge(pages: DataFrame, rules=RULES, sample: int = SAMPLE) -> DataFrame:
