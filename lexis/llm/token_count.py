@@ -85,7 +85,7 @@ def lengths(texts: list, path: str, split: bool) -> list:
         for piece in (pieces(t) if split else [t]) if t else []:
             group.append(piece)
             owner.append(i)
-            held += len(piece)
+            held += len(piece.encode())
             if held >= GROUP_BYTES:
                 flush()
                 group, owner, held = [], [], 0
