@@ -90,3 +90,25 @@ def test_other_columns_stay_and_former_predictions_go(spark, trained):
     assert out.columns == ["doc_id", "lang", "prediction", "predicted_label"]
     assert out.where("predicted_label = lang").count() == 36
     assert SC.score_rows(more.limit(0), models["Naive Bayes"], "text").count() == 0
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_streams_of_a_table_in_one_file_or_in_a_folder(spark, tmp_path, parts):
+    import os
+
+    from lexis.functions.text import clean_text
+    from lexis.plans.catalog import QUERIES
+
+    rows = spark.createDataFrame([(i, f"See http://x.y/{i} and @you {i}", "en", "s", 9) for i in range(20)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    to, table = str(tmp_path / "made"), str(tmp_path / "documents.parquet")
+    rows.repartition(max(1, parts)).write.parquet(to)
+    if parts:
+        os.rename(to, table)
+    else:
+        part = next(f for f in os.listdir(to) if f.startswith("part-"))
+        os.rename(os.path.join(to, part), table)
+    (tmp_path / "documents.parquet2").mkdir()  # a neighbour that a loose pattern would match
+    got = QUERIES["stream_clean_text"](spark, str(tmp_path)).collect()
+    want = rows.select("doc_id", clean_text(F.col("text")).alias("text")).collect()
+    assert len(got) == 20 and {tuple(r) for r in got} == {tuple(r) for r in want}
