@@ -10,6 +10,7 @@ from lexis.functions.stem import stem_column
 from lexis.operators import tokens as K
 from lexis.plans.registry import register, table
 from lexis.plans.text_queries import NOISE_SQL, noisy_documents, sql_clean, sql_normalize_prefix
+from lexis.session import written
 
 
 def _sql_tokens(text_expr: str, source: str = "documents") -> str:
@@ -95,9 +96,11 @@ SELECT t.doc_id, t.pos, coalesce(m.lemma, t.token) AS token FROM t LEFT JOIN m O
 """)
 def q_lemmatize_lookup(spark, sf_dir):
     """The token stream with each token replaced through a lemma table
-    (here the rule-derived table of the same corpus)."""
-    toks = K.remove_stopwords(K.min_length(_prefix_tokens(spark, sf_dir), 2))
-    mapping = K.lemma_rules(toks.select("token").distinct())
+    (here the rule-derived table of the same corpus).  The prepared texts and
+    their distinct tokens are written, since both are read several times."""
+    d = noisy_documents(spark, sf_dir).select("doc_id", T.normalize_prefix(F.col("text")).alias("t"))
+    toks = K.remove_stopwords(K.min_length(K.tokenize(written(d, "prepared"), "t", "doc_id"), 2))
+    mapping = K.lemma_rules(written(toks.select("token").distinct(), "tokens"))
     return K.apply_lookup(toks, mapping, "token", "lemma").select("doc_id", "pos", "token")
 
 
