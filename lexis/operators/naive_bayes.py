@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions.text import argmax
-from lexis.session import cut_lineage
+from lexis.session import written
 
 
 @dataclass
@@ -33,7 +33,7 @@ class NaiveBayesModel:
 def class_sums(weights: DataFrame, label_col: str = "label_id") -> DataFrame:
     """(label, term, fc) of training weights, materialised: every smoothing
     value and the class totals read it."""
-    return cut_lineage(weights.groupBy(label_col, "term").agg(F.sum("weight").alias("fc")))
+    return written(weights.groupBy(label_col, "term").agg(F.sum("weight").alias("fc")), "class-sums")
 
 
 def fit(fc: DataFrame, docs: DataFrame, n_terms: int, *, label_col: str = "label_id",

@@ -75,3 +75,17 @@ def test_empty_vocabulary_raises(spark):
     tf = TF.term_frequency(TF.terms(docs, "t", "id"), "id")
     with pytest.raises(ValueError):
         TF.fit(tf, 2, min_df=5, max_df=1.0)
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_counted_terms_as_by_shuffle_and_written_once(spark, again):
+    """A row's terms are counted inside it; repeated ids are added up."""
+    rows = [(1, "b a b  c B", "x"), (2, "", "x"), (3, None, "y"), (4, "zz " * 5000 + "yy", "y"), (None, "aa aa bb", "y")]
+    rows += [(1, "bb aa", "x"), (1, "aa", "y"), (None, "aa", "y")] if again else []
+    d = spark.createDataFrame(rows, "id bigint, t string, s string")
+    want = TF.term_frequency(TF.terms(d, "t", "id", ("s",)), "id", ("s",))
+    got = TF.counted_terms(d, "t", "id", ("s",))
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and "regexp_extract_all" not in plan  # fit and transform don't count anew
