@@ -89,3 +89,16 @@ def test_counted_terms_as_by_shuffle_and_written_once(spark, again):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Scan parquet" in plan and "regexp_extract_all" not in plan  # fit and transform don't count anew
+
+
+def test_lookup_joins_only_values_that_differ(spark):
+    from lexis.operators import tokens as K
+
+    toks = spark.createDataFrame([(1, 0, "cats"), (1, 1, "cat"), (2, 0, "dogs"), (2, 1, "x"), (2, 2, "n")], "id int, pos int, token string")
+    table = spark.createDataFrame([("cats", "cat"), ("cat", "cat"), ("dogs", "dog"), ("dogs", "dig"), ("x", "x"), ("n", None)],
+                                  "token string, lemma string")
+    out = K.apply_lookup(toks, table)
+    assert sorted(tuple(r) for r in out.select("id", "pos", "token").collect()) == \
+        [(1, 0, "cat"), (1, 1, "cat"), (2, 0, "dig"), (2, 1, "x"), (2, 2, "n")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(token" not in plan
