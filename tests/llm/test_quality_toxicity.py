@@ -180,3 +180,14 @@ def test_toxic_documents_are_found_in_every_language(spark):
     assert hit >= 0.9 * (hit + miss) and hit >= 0.9 * (hit + false)
     for lang in {k[0] for k in n}:
         assert n[lang, 1, 1] >= 0.8 * (n[lang, 1, 1] + n[lang, 1, 0])
+
+
+def test_every_word_of_a_text_is_evidence_up_to_its_end():
+    """``beginnings`` are those of words; a text is read to its end, also beyond a piece."""
+    _, size, _, hashes = toxicity.beginnings([(0, "poison", 0, 6)])
+    grams, values = hashes[0, size[0] - 1:size[0]].view(np.int64), np.array([5.0], np.float32)
+    filler = "plain words " * (toxicity._PIECE // 8)  # more than one piece
+    first, last, both, none = toxicity.text_ratios(
+        ["poison " + filler, filler + "poison", "poison " + filler + "poison", filler], grams, values)
+    assert none == 0 and first > 0
+    assert np.isclose(first, last, rtol=1e-5) and np.isclose(both, 2 * last, rtol=1e-4)
