@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,63 @@ def test_forest_on_a_wide_vocabulary(spark):
     assert abs(copies.mean() - 1) < 0.02 and abs((copies == 0).mean() - math.exp(-1)) < 0.02
 
 
+def test_cells_travel_packed_each_part_by_itself():
+    """A pass hands on one row for the cells of a part, not one row a cell."""
+    data = T.Binned(None, None, 4, 3)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(40)), pa.array([i % 2 for i in range(40)], pa.int32()),
+         pa.array([[i % 7, 7 + i % 11] for i in range(40)], pa.list_(pa.int32())),
+         pa.array([[1 + i % 3, 1] for i in range(40)], pa.list_(pa.int16()))], ["row", "label", "terms", "bins"])
+    nodes = T.Nodes()
+    root = nodes.add(0, 0)
+
+    def look(batch, sparse, arrays):
+        stats = np.zeros((batch.num_rows, 1, 2))
+        stats[np.arange(batch.num_rows), 0, batch.column("label").to_numpy()] = 1
+        return np.zeros((batch.num_rows, 1), np.int64), stats
+
+    run, _ = T.sum_cells(data, look, nodes, [root], 2, T.Subset())
+    made = list(run([batch]))
+    assert sum(b.num_rows for b in made) <= 2 * data.parts  # cells and totals
+    found, totals = {}, []
+    for node, term, bin_, stats in T.unpacked(made, 2):
+        for t, b, s in zip(term.tolist(), bin_.tolist(), stats.tolist()):
+            if t < 0:
+                totals.append(s)
+            else:
+                assert (t, b) not in found
+                found[t, b] = s
+    want: dict = {}
+    for i in range(40):
+        for cell in ((i % 7, 1 + i % 3), (7 + i % 11, 1)):
+            want.setdefault(cell, [0.0, 0.0])[i % 2] += 1
+    assert found == want and totals == [[20.0, 20.0]] * data.parts
+
+
+def test_weights_of_a_class_of_terms():
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([list(range(i, 60, 1 + i % 4)) for i in range(30)], pa.list_(pa.int32())),
+         pa.array([[1] * len(range(i, 60, 1 + i % 4)) for i in range(30)], pa.list_(pa.int16()))], ["terms", "bins"])
+    sparse, subset = T.Batch(batch), T.Subset(5, 2, 3)
+    node, use = np.arange(30) % 4, np.arange(30) % 3 > 0
+    want = np.flatnonzero(use[sparse.row_of] & (subset.of_terms(sparse.terms) == subset.of_nodes(node)[sparse.row_of]))
+    assert len(want) and T.ByClass(sparse, subset).weights(node, use).tolist() == want.tolist()
+
+
+def test_bins_by_halving_and_quantiles_of_frequent_terms_only(spark):
+    cuts = [[], [0.5]] + [[i / 7 for i in range(1, n)] for n in (5, 13, 16, 32)]
+    df = spark.createDataFrame([(c, k / 14) for c in cuts for k in range(70)], "cuts array<double>, weight double")
+    for r in df.select("cuts", "weight", T.bin_of(F.col("cuts"), F.col("weight"), 32).alias("bin")).collect():
+        assert r["bin"] == sum(c < r["weight"] for c in r["cuts"])
+    entries = spark.createDataFrame([(t, float(1 + i % (5 + t))) for t in range(4) for i in range(3 + 10 * t)], "term int, weight double")
+    for r in T.cut_points(entries, 8).collect():
+        values = sorted({float(1 + i % (5 + r["term"])) for i in range(3 + 10 * r["term"])})
+        if len(values) < 8:
+            assert r["cuts"] == [(a + b) / 2 for a, b in zip([0.0, *values], values)]
+        else:
+            assert r["cuts"] == sorted(set(r["cuts"])) and len(r["cuts"]) < 8
+
+
 def test_many_values_go_to_quantile_bins(spark):
     rnd = random.Random(9)
     df = spark.createDataFrame([(i, float(x > 0.37), [0], [x]) for i in range(2000) for x in [rnd.random() + 1e-6]], SPARSE)
