@@ -8,9 +8,8 @@ largest one, so no probability is clipped and the expected token shares of the
 sample are the fitted ones.
 
 Scale: texts are read once; a cell is one row whatever a source's share, since
-counting is aggregated map-side.  A half-step is a grouped sum over the cells;
-only its factors are written.  Documents get their factors by plain joins with
-the three factor tables, narrow ones first written next to each other.
+counting is aggregated map-side.  A half-step is a grouped sum over the cells,
+joined back to them and written.  Documents get their cell's probability by a plain join.
 
 Topic: documents carry none, so by default it is the form of the text (table,
 list, note, long, article); any column can be given instead.  Targets default to
@@ -76,24 +75,32 @@ def tempered(cells: DataFrame, dim: str, given: DataFrame | None = None) -> Data
     return seen.select("value", (F.col("share") / F.lit(whole)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict | None = None, rounds: int = ROUNDS) -> dict:
-    """Factor tables {dim: (value, factor)} that fit the cells' tokens to the
-    target shares, one dimension after the other, ``rounds`` times."""
+def fitted(cells: DataFrame, targets: dict | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """The cells with their factors ``f_<dim>``, which fit the tokens to the target shares, one
+    dimension after the other, ``rounds`` times.  Factors stay in the cells: a half-step is one
+    grouped sum, joined back."""
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    wanted = {d: written(tempered(cells, d, (targets or {}).get(d)), "target") for d in DIMS}
-    factors: dict = {}
+    held = cells.select(*DIMS, "tokens")
+    for dim in DIMS:
+        share = tempered(cells, dim, (targets or {}).get(dim)).toDF(dim, "share_" + dim)
+        held = held.join(share, dim).withColumn("f_" + dim, F.lit(1.0))
+    held = written(held, "factors")
     for _ in range(rounds):
         for dim in DIMS:
-            cur = cells.withColumn("w", F.col("tokens").cast("double"))
+            weight = F.col("tokens").cast("double")
             for other in DIMS:
-                if other != dim and other in factors:
-                    f = factors[other].select(F.col("value").alias(other), F.col("factor").alias("f_" + other))
-                    cur = cur.join(f, other).withColumn("w", F.col("w") * F.col("f_" + other))
-            now = cur.groupBy(F.col(dim).alias("value")).agg(F.sum("w").alias("now"))
-            fitted = now.join(wanted[dim], "value").select(
-                "value", F.when(F.col("now") > 0, F.col("share") * total / F.col("now")).otherwise(F.lit(0.0)).alias("factor"))
-            factors[dim] = written(fitted, "factors")
-    return factors
+                if other != dim:
+                    weight = weight * F.col("f_" + other)
+            now = held.groupBy(dim).agg(F.sum(weight).alias("now"), F.max("share_" + dim).alias("share"))
+            factor = F.when(F.col("now") > 0, F.col("share") * total / F.col("now")).otherwise(F.lit(0.0))
+            held = written(held.drop("f_" + dim).join(now.select(dim, factor.alias("f_" + dim)), dim), "factors")
+    return held
+
+
+def rake(cells: DataFrame, targets: dict | None = None, rounds: int = ROUNDS) -> dict:
+    """Factor tables {dim: (value, factor)} of the fitted cells."""
+    held = fitted(cells, targets, rounds)
+    return {d: held.select(F.col(d).alias("value"), F.col("f_" + d).alias("factor")).distinct() for d in DIMS}
 
 
 def calibrated(docs: DataFrame, columns: list, topic: Column | None = None, targets: dict | None = None,
@@ -109,11 +116,7 @@ def calibrated(docs: DataFrame, columns: list, topic: Column | None = None, targ
     rows = rows.withColumn("_topic", F.coalesce("_topic", F.lit("")))
     cells = rows.groupBy(*[F.col("_" + d).alias(d) for d in DIMS]).agg(F.sum("_tokens").alias("tokens"))
     cells = written(cells, "cells")
-    factors = rake(cells, targets)
-    product = cells
-    for dim in DIMS:
-        f = factors[dim].select(F.col("value").alias(dim), F.col("factor").alias("f_" + dim))
-        product = product.join(f, dim, "left").withColumn("f_" + dim, F.coalesce("f_" + dim, F.lit(0.0)))
+    product = fitted(cells, targets)
     weight = F.col("f_source") * F.col("f_lang") * F.col("f_topic")
     product = written(product.select(*[F.col(d).alias("_" + d) for d in DIMS], "tokens", weight.alias("_w")), "weights")
     top = product.where("tokens > 0").agg(F.max("_w")).first()[0] or 1.0

@@ -26,6 +26,24 @@ def test_factors_meet_all_marginals(documents):
         assert all(abs(got[v] - want[v]) < 2e-3 for v in want), dim
 
 
+def test_a_half_step_is_one_sum_joined_back(documents, monkeypatch):
+    """One written plan with one join a half-step: plans and broadcasts are what fills the driver."""
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return written(df, name)
+
+    from lexis.session import written
+
+    cells = documents.select(F.col("source"), F.col("lang"), F.lit("a").alias("topic"), F.lit(1).alias("tokens")) \
+        .groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
+    monkeypatch.setattr(mixing, "written", kept)
+    mixing.rake(cells, rounds=2)
+    steps = plans[-2 * len(mixing.DIMS):]
+    assert len(plans) == 1 + len(steps) and all(p.count("Join ") == 1 and p.count("Aggregate ") == 1 for p in steps)
+
+
 def test_same_as_sql(documents):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
