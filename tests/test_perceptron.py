@@ -107,3 +107,32 @@ def test_ends_when_the_loss_falls_no_more(spark):
     df = spark.createDataFrame([(0.0, [0], [1.0]), (1.0, [0], [1.0])], DDL)  # nothing to learn
     model = Perceptron(2, 1, units=2, max_iter=500, tol=0.5, patience=3).fit(df)
     assert len(model.losses) < 10
+
+
+def test_a_first_layer_in_a_table_gives_the_same_model(spark, monkeypatch, tmp_path):
+    """Weights too many to broadcast: the same losses, weights and predictions, parts and blocks cut small, with
+    a term that no row has, rows without terms, and a caller's column called ``part``."""
+    from pyspark.sql import functions as F
+
+    from lexis.operators import perceptron as P
+
+    df = spark.createDataFrame(sparse(120, 50, 3) + [(2.0, None, None)], DDL).withColumn("part", F.lit("mine"))
+    fit = lambda: Perceptron(3, 60, units=4, max_iter=5, rate=0.05).fit(df)
+    want = fit()
+    with monkeypatch.context() as m:
+        m.setattr(P, "SHARED", 0)
+        m.setattr(P, "PART", 40)  # more parts than cores
+        m.setattr(P, "GROUP_CELLS", 4 * 10 * 7)  # blocks of a few terms
+        found = fit()
+        found.save(str(tmp_path / "m"), spark)
+        again = PerceptronModel.load(str(tmp_path / "m"), spark)
+        assert found.layer and again.layer and found.layer.size < 60 and found.size == again.size == 240
+        assert np.allclose(found.losses, want.losses, rtol=1e-12, atol=0)
+        for a, b, c in zip(want.weights.arrays, found.weights.arrays, again.weights.arrays):
+            assert np.allclose(a, b, rtol=0, atol=1e-9) and (b == c).all()
+        rows = lambda model: sorted(map(str, model.transform(df).collect()))
+        assert rows(found) == rows(again) == rows(want)
+        assert found.transform(df.limit(0)).count() == 0
+        assert Perceptron(3, 60, units=4, max_iter=50, tol=9.0, patience=2).fit(df).losses[2:] != []
+        with pytest.raises(ValueError, match="no rows"):
+            Perceptron(2, 3, units=2).fit(df.limit(0))
