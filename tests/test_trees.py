@@ -350,3 +350,40 @@ def test_random_features_approximate_the_kernel():
         dense[i, j] = x
     exact = np.exp(-0.7 * ((dense[:, None] - dense[None]) ** 2).sum(axis=2))
     assert np.abs(z @ z.T - exact).max() < 0.08
+
+
+def test_random_features_of_common_and_rare_terms_follow_their_formula():
+    """Terms of nearly all rows, of few rows and of none: each row's features are the cosines of the sum of its
+    terms' frequencies, whether they are multiplied as a dense block or cell by cell."""
+    from lexis.operators import kernel as K
+    from lexis.operators.trees import _mix
+
+    rng = np.random.default_rng(4)
+    n, dims, gamma, seed = 1300, 70, 0.3, 9
+    rows = [sorted({0, 1, *rng.integers(2, 4000, int(rng.integers(0, 9))).tolist()}) if i % 50 else [] for i in range(n)]
+    values = [rng.normal(size=len(r)).tolist() for r in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))],
+                                       ["indices", "weights"])
+    found = K.fourier(T.Batch(batch, "weights"), dims, gamma, seed)
+    u = (_mix(np.arange(4000)[:, None], np.arange(dims)[None, :], seed, 1) + 1) / float(1 << 63)
+    v = _mix(np.arange(4000)[:, None], np.arange(dims)[None, :], seed, 2) / float(1 << 63)
+    normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v) * np.sqrt(2 * gamma)
+    dense = np.zeros((n, 4000))
+    for i, (r, x) in enumerate(zip(rows, values)):
+        dense[i, r] = x
+    phase = _mix(np.arange(dims), seed, 3) / float(1 << 63) * 2 * np.pi
+    assert np.abs(found - np.sqrt(2 / dims) * np.cos(dense @ normal + phase)).max() < 1e-12
+
+
+def test_a_pair_of_classes_reads_only_its_own_rows(spark):
+    from lexis.operators import kernel as K
+
+    rows = [(float(i % 3), [i % 3, 3 + i % 5], [1.0, 0.2]) for i in range(60)]
+    machine = K.KernelSvm(3, 8, dims=16, max_iter=20)
+    df = spark.createDataFrame(rows, "label double, indices array<int>, weights array<double>")
+    features = machine.features(df, 1.0)
+    plan = features.where("label in (0.0, 2.0)")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [label" in plan, plan
+    assert features.count() == 60 and dict(features.dtypes)["label"] == "double"
+    model = machine.fit(df)
+    assert model.pairs == [(0, 1), (0, 2), (1, 2)] and C.accuracy(model.transform(df)) == 1.0
