@@ -9,7 +9,7 @@ def test_registered():
     import __spark_entry__ as E
 
     names = set(E.queries())
-    assert {"pipeline", *catalog.QUERIES} <= names and len(catalog.QUERIES) == 10
+    assert {"pipeline", *catalog.QUERIES} <= names and len(catalog.QUERIES) == 13
     assert set(catalog.ORACLES) <= set(E.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "mixing"]
 
