@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,59 @@ def test_cells_travel_packed_each_part_by_itself():
     assert found == want and totals == [[20.0, 20.0]] * data.parts
 
 
+def test_weights_dealt_by_term_meet_the_facts_of_their_rows(spark, rows, monkeypatch):
+    """Every weight is in one piece; a part has the whole sums of its cells, so that no cells travel."""
+    monkeypatch.setattr(T, "PART_WEIGHTS", 300)
+    data = T.binned(rows, 32)
+    assert data.parts == 5 and T.binned(rows, 32) is data and T.binned(rows, 16) is not data
+    nodes = T.Nodes()
+    front = [nodes.add(0, 0), nodes.add(1, 0)]
+
+    def look(batch, sparse, arrays):
+        stats = np.ones((batch.num_rows, 2, 2))
+        stats[:, 0, 0] = batch.column("label").to_numpy()
+        stats[:, 1, 1] = batch.column("row").to_numpy() % 7
+        return np.tile([0, 1], (batch.num_rows, 1)), stats
+
+    pieces = data.by_term().unionByName(data.rows.mapInArrow(*T.row_facts(look, nodes, front)).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(4))))).toArrow()
+    found, total, sums = {}, [], T.sums_of_part(data, nodes, front)
+    for p in range(5):
+        part = pieces.filter(pa.compute.equal(pieces["part"], p)).sort_by([("block", "ascending"), ("kind", "ascending")])
+        cells: dict = {}
+        for node, term, bin_, stats in sums(part.to_batches(max_chunksize=3), 2):
+            for n, t, b, s in zip(node.tolist(), term.tolist(), bin_.tolist(), stats):
+                cells[n, t, b] = cells.get((n, t, b), 0) + s
+        total.append({n: cells.pop((n, -1, 0)).tolist() for n in front})
+        assert not cells.keys() & found.keys()
+        found |= cells
+    want, whole = {}, {0: np.zeros(2), 1: np.zeros(2)}
+    for r in data.rows.collect():
+        for n, s in ((0, [r["label"], 1.0]), (1, [1.0, r["row"] % 7])):
+            whole[n] += s
+            for t, b in zip(r["terms"], r["bins"]):
+                want[n, t, b] = want.get((n, t, b), 0) + np.array(s)
+    assert {k: v.tolist() for k, v in found.items()} == {k: v.tolist() for k, v in want.items()}
+    assert total == [{n: s.tolist() for n, s in whole.items()}] * 5
+    # a part must not meet other rows than those it was made from
+    short = part.set_column(part.schema.get_field_index("n"), "n", pa.array([n + k for n, k in zip(
+        part["n"].to_pylist(), part["kind"].to_pylist())], pa.int32()))
+    with pytest.raises(RuntimeError, match="met the rows"):
+        list(sums(short.to_batches(), 2))
+
+
+@pytest.mark.parametrize("name", ["AdaBoost", "Decision Tree", "Random Forest"])
+def test_several_partitions_give_the_same_model(spark, rows, name, monkeypatch):
+    def grown():
+        m = C.fit_model(name, rows, 12, 3, C.SuiteParams(trees=4, tree_depth=5, ada_rounds=5))
+        return (m.stumps, np.round(m.alphas, 9).tolist()) if name == "AdaBoost" else (m.term.tolist(), m.threshold.tolist())
+
+    one = grown()
+    monkeypatch.setattr(T, "PART_WEIGHTS", 100)
+    monkeypatch.setattr(T, "FLUSH", 64)
+    assert grown() == one
+
+
 def test_weights_of_a_class_of_terms():
     batch = pa.RecordBatch.from_arrays(
         [pa.array([list(range(i, 60, 1 + i % 4)) for i in range(30)], pa.list_(pa.int32())),
