@@ -69,6 +69,12 @@ def test_defaults_are_full():
     assert (p.trees, p.tree_depth, p.boost_rounds, p.ada_rounds, p.svm_iter, p.mlp_iter) == (100, 30, 100, 50, 1000, 1000)
 
 
+def test_queries_fit_whole_models():
+    from lexis.plans import model_queries
+
+    assert model_queries.PARAMS == C.SuiteParams()
+
+
 WORDS = {"good": "profits soared record gains wolves", "bad": "losses layoffs heavy decline axes", "flat": "unchanged steady session gases"}
 
 
